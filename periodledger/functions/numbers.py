@@ -9,6 +9,9 @@ A number is carried as fixed-width columns so that the resolver can hash-aggrega
 ``value_id``     BIGINT, hash of digits and exponent; equal numbers share it
 
 ``1e300`` and ``1e-400`` are therefore exact, although neither fits a DECIMAL(38,18).
+
+The steps below are separate projections on purpose: an intermediate that is used several
+times is computed once as a column, where a single nested expression would repeat it.
 """
 
 from __future__ import annotations
@@ -25,12 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from periodledger import vocab
-from periodledger.functions.text import fold_case
+from periodledger.functions.text import beyond_ascii, fold_case
 
 # Executors need not have this package installed: the UDF travels with its code.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-REPORTED = ["reported_zero", "reported_numeric"]
 NUMBER_COLUMNS = ["value", "value_decimal", "value_digits", "value_exp", "value_scale", "value_id"]
 SUM_PRECISION = 28
 
@@ -43,26 +45,23 @@ def _foreign_digits() -> tuple[str, str]:
 
 def _ascii_digits(text: Column) -> Column:
     source, target = _foreign_digits()
-    return F.when(text.rlike(r"[^\x00-\x7f]"), F.translate(text, source, target)).otherwise(text)
+    return F.when(beyond_ascii(text), F.translate(text, source, target)).otherwise(text)
 
 
-def decimal_text(digits: Column, exponent: Column) -> Column:
+def decimal_text(digits: str, exponent: str) -> Column:
     """Shortest conventional text of ``digits * 10**exponent``: plain notation down to
-    1E-6 when no zeros have to be appended, scientific notation otherwise."""
-    count = F.length(digits)
-    point = exponent + count
-    plain = (
-        F.when(exponent == 0, digits)
-        .when(point > 0, F.concat(digits.substr(F.lit(1), point), F.lit("."), digits.substr(point + 1, count)))
-        .otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
-    )
-    fraction = F.when(count > 1, F.concat(F.lit("."), digits.substr(F.lit(2), count))).otherwise(F.lit(""))
-    power = point - 1
-    scientific = F.concat(
-        digits.substr(1, 1), fraction,
-        F.lit("E"), F.when(power >= 0, F.lit("+")).otherwise(F.lit("")), power.cast("string"),
-    )
-    return F.when((exponent <= 0) & (point > -6), plain).otherwise(scientific)
+    1E-6 when no zeros have to be appended, scientific notation otherwise.
+
+    Takes column names, not expressions: both are used many times over.
+    """
+    point = f"({exponent} + length({digits}))"
+    return F.expr(f"""
+        case when {exponent} = 0 then {digits}
+             when {exponent} < 0 and {point} > 0
+               then concat(left({digits}, {point}), '.', substring({digits}, {point} + 1))
+             when {exponent} < 0 and {point} > -6 then concat('0.', repeat('0', -{point}), {digits})
+             else concat(left({digits}, 1), if(length({digits}) > 1, concat('.', substring({digits}, 2)), ''),
+                         'E', if({point} > 0, '+', ''), {point} - 1) end""")
 
 
 def with_number(df: DataFrame, clean: str, raw: str, present: str) -> DataFrame:
@@ -72,62 +71,59 @@ def with_number(df: DataFrame, clean: str, raw: str, present: str) -> DataFrame:
     ``present`` tells a null from an absent field.
     """
     text, key = F.col(clean), fold_case(F.col(clean))
-    kind = (
+    step = df.withColumn("_ascii", _ascii_digits(text)).withColumn("_kind", (
         F.when(~F.col(present), "not_reported")
         .when(F.col(raw).isNull(), "missing")
         .when(key.isin(vocab.NOT_REPORTED_TOKENS), "not_reported")
         .when(text.isin(vocab.NOT_APPLICABLE_TOKENS), "not_applicable")
-        .when(_ascii_digits(text).rlike(f"^{vocab.NUMBER}$") & ~text.contains("\n"), "number")
+        .when(F.col("_ascii").rlike(rf"^{vocab.NUMBER}\z"), "number")
         .otherwise("invalid")
-    )
-    scratch = [
-        "_kind", "_plain", "_whole", "_part", "_power", "_written", "_digits", "_bare",
-    ]
-    step = df.withColumn("_kind", kind)
-    step = step.withColumn(
-        "_plain", F.when(F.col("_kind") == "number", F.replace(_ascii_digits(text), F.lit(","), F.lit(""))))
+    ))
+    step = step.withColumn("_plain", F.expr("if(_kind = 'number', replace(_ascii, ','), null)"))
+    # Plain substring functions from here on: the pattern above has established the grammar.
+    step = step.withColumn("_mantissa", F.expr("substring_index(lower(_plain), 'e', 1)"))
     step = step.withColumns({
-        "_whole": F.regexp_extract("_plain", r"^[+]?(\d*)", 1),
-        "_part": F.regexp_extract("_plain", r"\.(\d*)", 1),
-        "_power": F.expr("coalesce(try_cast(nullif(regexp_extract(_plain, '[eE](.*)$', 1), '') as int),"
-                         " if(_plain rlike '[eE]', null, 0))"),
+        "_whole": F.expr("trim(leading '+' from substring_index(_mantissa, '.', 1))"),
+        "_part": F.expr("if(contains(_mantissa, '.'), substring_index(_mantissa, '.', -1), '')"),
+        "_power": F.expr("if(length(_mantissa) = length(_plain), 0,"
+                         " try_cast(substring(_plain, length(_mantissa) + 2) as int))"),
     })
     step = step.withColumns({
-        "_written": F.regexp_replace(F.concat("_whole", "_part"), "^0+(?!$)", ""),
-        "value_scale": (F.col("_power") - F.length("_part")).cast("int"),
+        "_written": F.expr("coalesce(nullif(trim(leading '0' from concat(_whole, _part)), ''), '0')"),
+        "value_scale": F.expr("cast(_power - length(_part) as int)"),
         "value": F.expr("try_cast(_plain as double)"),
     })
     # An exponent too long for INT is beyond every limit; 1e308 is the largest accepted value.
-    step = step.withColumn("value_status", (
-        F.when(F.col("_kind") != "number", F.col("_kind"))
-        .when(F.col("_power").isNull() | (F.col("value") > 1e308), "invalid")
-        .when(F.col("_written") == "0", "reported_zero")
-        .otherwise("reported_numeric")
-    ))
-    ok = F.col("value_status").isin(REPORTED)
+    step = step.withColumn("value_status", F.expr("""
+        case when _kind <> 'number' then _kind when _power is null or value > 1e308 then 'invalid'
+             when _written = '0' then 'reported_zero' else 'reported_numeric' end"""))
+    step = step.withColumn("_ok", F.expr("value_status in ('reported_zero', 'reported_numeric')"))
     step = step.withColumns({
-        "_bare": F.when(ok, F.when(F.col("_written") == "0", F.lit("0"))
-                        .otherwise(F.regexp_replace("_written", "0+$", ""))),
-        "_digits": F.when(ok, F.col("_written")),
-        "value": F.when(ok, F.col("value")),
-        "value_scale": F.when(ok, F.col("value_scale")),
+        "_bare": F.expr("if(_ok, coalesce(nullif(trim(trailing '0' from _written), ''), '0'), null)"),
+        "_digits": F.expr("if(_ok, _written, null)"),
+        "value": F.expr("if(_ok, value, null)"),
+        "value_scale": F.expr("if(_ok, value_scale, null)"),
     })
-    cut = F.greatest(F.length("_bare") - 38, F.lit(0))
-    zeros = F.length("_digits") - F.length("_bare")
     step = step.withColumns({
-        "value_decimal": decimal_text(F.col("_digits"), F.col("value_scale")),
-        "value_digits": F.substring("_bare", 1, 38).cast("decimal(38,0)"),
-        "value_exp": F.when(F.col("_bare") == "0", F.lit(0)).otherwise(F.col("value_scale") + zeros + cut).cast("int"),
+        "value_decimal": decimal_text("_digits", "value_scale"),
+        "value_digits": F.expr("cast(left(_bare, 38) as decimal(38,0))"),
+        "value_exp": F.expr("cast(if(_bare = '0', 0, value_scale + length(_digits) - length(_bare)"
+                            " + greatest(length(_bare) - 38, 0)) as int)"),
     })
-    step = step.withColumn("value_id", F.when(ok, F.xxhash64("_bare", "value_exp")))
-    return step.drop(*scratch)
+    step = step.withColumn("value_id", F.expr("if(_ok, xxhash64(_bare, value_exp), null)"))
+    return step.drop("_ascii", "_kind", "_plain", "_mantissa", "_whole", "_part", "_power", "_written", "_ok", "_digits", "_bare")
 
 
-def rebuilt_text(digits: Column, exponent: Column, scale: Column) -> Column:
-    """Decimal text of a number written with the given scale."""
-    text = digits.cast("string")
-    pad = F.when(text == "0", F.lit(0)).otherwise(F.greatest(exponent - scale, F.lit(0)))
-    return decimal_text(F.concat(text, F.repeat(F.lit("0"), pad)), F.when(text == "0", scale).otherwise(exponent - pad))
+def with_rebuilt_text(df: DataFrame, output: str) -> DataFrame:
+    """Decimal text of the number in ``value_digits, value_exp, value_scale``, as written with
+    that scale."""
+    step = df.withColumn("_text", F.expr("cast(value_digits as string)"))
+    step = step.withColumn("_pad", F.expr("if(_text = '0', 0, greatest(value_exp - value_scale, 0))"))
+    step = step.withColumns({
+        "_padded": F.expr("concat(_text, repeat('0', _pad))"),
+        "_power": F.expr("if(_text = '0', value_scale, value_exp - _pad)"),
+    })
+    return step.withColumn(output, decimal_text("_padded", "_power")).drop("_text", "_pad", "_padded", "_power")
 
 
 @F.arrow_udf(T.StringType())
@@ -138,7 +134,7 @@ def _wide_sum(batch: pa.Array) -> pa.Array:
 
     def add(texts):
         total = Decimal(0)
-        for text in texts:
+        for text in texts.split():
             total = context.add(total, Decimal(text))
         return str(total)
 
@@ -154,23 +150,24 @@ def with_decimal_sum(df: DataFrame, values: str, wanted: Column, output: str) ->
     """
     step = df.withColumns({
         "_terms": F.when(wanted, F.col(values)),
-        "_whole": F.expr(f"array_max(transform({values}, v -> length(cast(v.digits as string)) + v.exp))"),
-        "_part": F.expr(f"array_max(transform({values}, v -> greatest(-v.scale, 0)))"),
-        "_raised": F.expr(f"exists({values}, v -> v.scale > 0)"),
+        "_span": F.expr(f"""aggregate({values}, named_struct('whole', 1, 'part', 0, 'raised', false), (a, v) -> named_struct(
+            'whole', greatest(a.whole, length(cast(v.digits as string)) + v.exp), 'part', greatest(a.part, -v.scale),
+            'raised', a.raised or coalesce(v.scale > 0, false)))"""),
     })
     # 1000 addends add at most three digits to the longest whole part.
-    fits = (F.greatest("_whole", F.lit(1)) + F.col("_part") <= SUM_PRECISION - 3) & (F.col("_part") <= 18) \
-        & (F.col("_whole") <= 17) & ~F.col("_raised") & (F.size("_terms") <= 1000)
-    step = step.withColumn("_fits", F.coalesce(fits, F.lit(True)))
-    exact = F.expr("aggregate(_terms, cast(0 as decimal(38,18)), (a, v) -> "
-                   "cast(a + cast(v.text as decimal(38,18)) as decimal(38,18)))")
-    step = step.withColumn("_sum", F.when(F.col("_fits"), exact))
+    step = step.withColumn("_part", F.col("_span.part")).withColumn("_fits", F.expr(f"""
+        coalesce(_span.whole + _part <= {SUM_PRECISION - 3} and _part <= 18 and _span.whole <= 17
+                 and not _span.raised and size(_terms) <= 1000, true)"""))
+    step = step.withColumn("_sum", F.expr("""
+        if(_fits, cast(aggregate(_terms, cast(0 as decimal(38,18)),
+                                 (a, v) -> cast(a + cast(v.text as decimal(38,18)) as decimal(38,18))) as string), null)"""))
     # The sum is written with as many decimals as its most precise addend.
-    text = F.regexp_replace(
-        F.expr("case when _part > 0 then left(cast(_sum as string), length(cast(_sum as string)) - 18 + _part)"
-               " else regexp_extract(cast(_sum as string), '^[^.]*', 0) end"), "^0+(?=[0-9])", "")
-    digits = F.regexp_replace(F.replace(text, F.lit("."), F.lit("")), "^0+(?!$)", "")
-    step = step.withColumn("_native", F.when(F.col("_sum").isNotNull(), decimal_text(digits, -F.col("_part"))))
-    wide = _wide_sum(F.when(~F.col("_fits"), F.expr("transform(_terms, v -> v.text)")))
-    step = step.withColumn(output, F.coalesce(F.col("_native"), wide))
-    return step.drop("_terms", "_whole", "_part", "_raised", "_fits", "_sum", "_native")
+    step = step.withColumns({
+        "_joined": F.expr("coalesce(nullif(trim(leading '0' from concat(substring_index(_sum, '.', 1),"
+                         " left(substring_index(_sum, '.', -1), _part))), ''), if(_sum is null, null, '0'))"),
+        "_power": F.expr("-_part"),
+    })
+    # As one string: see the note on list-typed UDF inputs in functions.text.
+    wide = _wide_sum(F.expr("if(_fits, null, array_join(transform(_terms, v -> v.text), ' '))"))
+    step = step.withColumn(output, F.coalesce(decimal_text("_joined", "_power"), wide))
+    return step.drop("_terms", "_span", "_part", "_fits", "_sum", "_joined", "_power")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from periodledger.functions import periods as P
-from periodledger.functions.numbers import rebuilt_text, with_decimal_sum
+from periodledger.functions.numbers import with_decimal_sum, with_rebuilt_text
 from periodledger.functions.text import first_filled
 from periodledger.operators.timeselect import TimeSelection, requested_rows, with_row_periods
 
@@ -113,7 +113,7 @@ def _verdict(df: DataFrame, suffix_of: Column | None) -> DataFrame:
             F.when(F.col("_differs"), "same_priority_value_conflict"), F.when(F.col("_duplicate"), "duplicate_scope_rows"))),
         "lower_priority_disagreement": selected & anything_else,
     })
-    return step.withColumn("value_decimal", rebuilt_text(F.col("value_digits"), F.col("value_exp"), F.col("value_scale")))
+    return with_rebuilt_text(step, "value_decimal")
 
 
 _MONTH = ("struct<period:string,status:string,value:double,value_decimal:string,value_digits:decimal(38,0),"

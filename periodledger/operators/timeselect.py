@@ -164,9 +164,11 @@ def with_report_period(index: DataFrame, *, time: str = "report_time", type: str
     })
     ok = F.col("period_error").isNull()
     step = step.withColumns({"period_year": F.when(ok, F.col("_year")), "period_kind": F.when(ok, kind)})
-    step = step.withColumn("periods", P.covered_periods(
-        F.col("period_year"), F.col("period_kind"), F.col("_month"), F.col("_quarter")))
-    return step.drop("_time", "_year", "_month", "_quarter", "_annual")
+    covered = P.covered_periods(F.col("period_year"), F.col("period_kind"), F.col("_month"), F.col("_quarter"))
+    # The results pass through a one-row generator. Filters on them would otherwise be pushed
+    # below this point with every expression above copied into them, many times over.
+    result = F.struct("period_year", "period_kind", covered.alias("periods"), "period_error")
+    return step.select(*index.columns, F.inline_outer(F.array(result)))
 
 
 def require_known_periods(classified: DataFrame) -> DataFrame:

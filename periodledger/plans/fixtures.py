@@ -139,3 +139,26 @@ def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lit("report_period"), F.col("report_time"), F.lit("report_type"), F.col("word")).alias("meta"),
         F.create_map(F.lit("enterprise_id"), F.col("enterprise_id"), F.lit("name"), F.col("name"),
                      F.lit("permit_code"), F.col("filed_permit")).alias("enterprise"))
+
+
+def index_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index listings of the reports, with varied period wording; some unreadable, some listed
+    under another year than the one they report."""
+    per = F.when(F.col("t") == "month", F.col("m")).when(F.col("t") == "quarter", F.col("quarter")).otherwise(0)
+    reports = lines(spark, sf_dir).select("e", "t", "y", per.alias("per"), "rev").distinct()
+    y, p, e = F.col("y").cast("string"), F.col("per").cast("string"), F.col("e")
+    bad = (e + F.col("per")) % 7 == 3
+    month = F.when(e % 3 == 0, F.concat(y, F.lit("年"), F.lpad(p, 2, "0"), F.lit("月"))).when(
+        e % 3 == 1, F.concat(y, F.lit("年"), p, F.lit("月月报表"))).otherwise(F.concat(F.lit(" "), y, F.lit("年 "), p, F.lit(" 月")))
+    quarter = F.when(e % 2 == 0, F.concat(y, F.lit("年第0"), p, F.lit("季度季报表"))).otherwise(F.concat(y, F.lit("年第"), p, F.lit("季")))
+    year = F.when(e % 2 == 0, F.concat(y, F.lit("年年报表"))).otherwise(F.concat(y, F.lit("年")))
+    wording = (
+        F.when(F.col("t") == "month", F.when(bad, F.concat(y, F.lit("年13月"))).otherwise(month))
+        .when(F.col("t") == "quarter", F.when(bad, F.concat(y, F.lit("年未知周期"))).otherwise(quarter))
+        .otherwise(F.when(bad, F.lit("年报 12345")).otherwise(year))
+    )
+    return reports.select(
+        F.concat(F.lit("E"), e.cast("string")).alias("enterprise_id"), F.concat(F.lit("P"), e.cast("string")).alias("permit_code"),
+        F.concat_ws("|", "t", e.cast("string"), y, p, "rev").alias("report_id"), wording.alias("report_time"),
+        F.when(F.col("t") == "month", "月报").when(F.col("t") == "quarter", "季报").otherwise("年报").alias("type"),
+        F.when((e % 11 == 5) & (F.col("t") == "year"), F.col("y") + 1).otherwise(F.col("y")).alias("index_year"))

@@ -1,48 +1,8 @@
-"""Registered queries: every operator over whole tables."""
+"""All registered queries and their SQL twins."""
 
-from __future__ import annotations
+from periodledger.plans import resolve_queries, time_queries
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+_MODULES = [resolve_queries, time_queries]
 
-from periodledger.operators import resolve, timeselect
-from periodledger.plans import fixtures, oracles
-
-QUARTER = timeselect.select_time(start="1997-04", end="1997-06")
-PARTIAL = timeselect.select_time(start="1997-04-15", end="1997-06-20")
-CROSS_YEAR = timeselect.select_time(periods=["1998-11", "1998-12", "1999-01"])
-
-_KEYS = ["enterprise_id", "permit_code", "pollutant_key", "scope", "outlet_key", "unit"]
-
-
-def _joined(array: str) -> Column:
-    return F.array_join(array, ",").alias(array)
-
-
-def _summary(selection: timeselect.TimeSelection):
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        summary = resolve.summarize_period(fixtures.records(spark, sf_dir), selection)
-        return summary.select(
-            *_KEYS, "enterprise_name", "status", "month_coverage_complete", "period_total", "period_total_decimal",
-            "covered_full_months_total", _joined("missing_periods"), _joined("conflict_periods"), "lower_priority_disagreement")
-    return query
-
-
-def q_period_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    months = resolve.resolve_months(fixtures.records(spark, sf_dir), QUARTER)
-    return months.withColumn("conflict_reasons", F.array_join("conflict_reasons", ","))
-
-
-QUERIES = {
-    "q_period_summary": _summary(QUARTER),
-    "q_period_summary_partial": _summary(PARTIAL),
-    "q_period_summary_cross_year": _summary(CROSS_YEAR),
-    "q_period_months": q_period_months,
-}
-
-ORACLES = {
-    "q_period_summary": oracles.period_summary(list(QUARTER.periods), True),
-    "q_period_summary_partial": oracles.period_summary(list(PARTIAL.periods), False),
-    "q_period_summary_cross_year": oracles.period_summary(list(CROSS_YEAR.periods), True),
-    "q_period_months": oracles.period_months(list(QUARTER.periods)),
-}
+QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}

@@ -67,7 +67,7 @@ def main() -> int:
     import __spark_entry__ as contract
 
     sf_dir, wanted = sys.argv[1], sys.argv[2:]
-    spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+    spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "12g")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
