@@ -121,17 +121,18 @@ def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("outletCode"), F.concat(F.lit("DA00"), (F.col("o") + 1).cast("string")))
     remark = F.when(F.col("p") == 3, F.create_map(F.lit("remark"), F.lit(POLLUTANTS[3][2]))).otherwise(
         F.expr("cast(map() as map<string,string>)"))
-    rows = rows.withColumn("row", F.map_concat(fixed, remark, F.col("fields")))
+    rows = rows.withColumn("row", F.to_json(F.map_concat(fixed, remark, F.col("fields"))))
     reports = rows.groupBy(*REPORT_KEY).agg(F.sort_array(F.collect_list(F.struct("p", "o", "dup", "row"))).alias("rows"))
     reports = reports.withColumns(_report_columns())
     word = F.when(F.col("t") == "month", "月报").when(F.col("t") == "quarter", "季报").otherwise("年报")
     reports = reports.withColumns({"word": word, "name": F.concat(F.lit("Enterprise "), F.col("e").cast("string"))})
-    water = F.array(F.create_map(F.lit("pollutantName"), F.lit("COD"), F.lit("emitValue"), F.lit("1")))
-    body = F.to_json(F.struct(
-        F.struct(F.col("word").alias("reportType"), F.col("report_time").alias("reportTime"),
-                 F.col("permit_code").alias("permitCode"), F.col("name").alias("enterName")).alias("companyInfo"),
-        F.struct(F.transform("rows", lambda r: r["row"]).alias("airMainEmission"), water.alias("waterMainEmission"))
-        .alias("emissionInfo")))
+    company = F.to_json(F.struct(
+        F.col("word").alias("reportType"), F.col("report_time").alias("reportTime"),
+        F.col("permit_code").alias("permitCode"), F.col("name").alias("enterName")))
+    body = F.concat(
+        F.lit('{"companyInfo":'), company, F.lit(',"emissionInfo":{"airMainEmission":['),
+        F.array_join(F.transform("rows", lambda r: r["row"]), ","),
+        F.lit('],"waterMainEmission":[{"pollutantName":"COD","emitValue":"1"}]}}'))
     return reports.select(
         "report_id", "enterprise_id", "filed_permit", "report_time", F.col("word").alias("type"), F.col("y").alias("report_year"),
         body.alias("body"),
