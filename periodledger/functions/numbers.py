@@ -158,16 +158,16 @@ def with_decimal_sum(df: DataFrame, values: str, wanted: Column, output: str) ->
     step = step.withColumn("_part", F.col("_span.part")).withColumn("_fits", F.expr(f"""
         coalesce(_span.whole + _part <= {SUM_PRECISION - 3} and _part <= 18 and _span.whole <= 17
                  and not _span.raised and size(_terms) <= 1000, true)"""))
-    step = step.withColumn("_sum", F.expr("""
+    step = step.withColumn("_exact_sum", F.expr("""
         if(_fits, cast(aggregate(_terms, cast(0 as decimal(38,18)),
                                  (a, v) -> cast(a + cast(v.text as decimal(38,18)) as decimal(38,18))) as string), null)"""))
     # The sum is written with as many decimals as its most precise addend.
     step = step.withColumns({
-        "_joined": F.expr("coalesce(nullif(trim(leading '0' from concat(substring_index(_sum, '.', 1),"
-                         " left(substring_index(_sum, '.', -1), _part))), ''), if(_sum is null, null, '0'))"),
+        "_joined": F.expr("coalesce(nullif(trim(leading '0' from concat(substring_index(_exact_sum, '.', 1),"
+                         " left(substring_index(_exact_sum, '.', -1), _part))), ''), if(_exact_sum is null, null, '0'))"),
         "_power": F.expr("-_part"),
     })
     # As one string: see the note on list-typed UDF inputs in functions.text.
     wide = _wide_sum(F.expr("if(_fits, null, array_join(transform(_terms, v -> v.text), ' '))"))
     step = step.withColumn(output, F.coalesce(decimal_text("_joined", "_power"), wide))
-    return step.drop("_terms", "_span", "_part", "_fits", "_sum", "_joined", "_power")
+    return step.drop("_terms", "_span", "_part", "_fits", "_exact_sum", "_joined", "_power")
