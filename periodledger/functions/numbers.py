@@ -48,6 +48,17 @@ def _ascii_digits(text: Column) -> Column:
     return F.when(beyond_ascii(text), F.translate(text, source, target)).otherwise(text)
 
 
+def fence(df: DataFrame, computed: list[str], kept: list[str]) -> DataFrame:
+    """``kept`` and ``computed`` columns, the latter through a one-row generator.
+
+    A later filter on a computed column is otherwise pushed below all the steps that computed
+    it, with their expressions copied into it over and over: plans grow exponentially. No
+    filter passes a generator's own output.
+    """
+    kept = [c for c in kept if c not in computed]
+    return df.select(*kept, F.inline_outer(F.array(F.struct(*computed))))
+
+
 def decimal_text(digits: str, exponent: str) -> Column:
     """Shortest conventional text of ``digits * 10**exponent``: plain notation down to
     1E-6 when no zeros have to be appended, scientific notation otherwise.
@@ -111,7 +122,7 @@ def with_number(df: DataFrame, clean: str, raw: str, present: str) -> DataFrame:
                             " + greatest(length(_bare) - 38, 0)) as int)"),
     })
     step = step.withColumn("value_id", F.expr("if(_ok, xxhash64(_bare, value_exp), null)"))
-    return step.drop("_ascii", "_kind", "_plain", "_mantissa", "_whole", "_part", "_power", "_written", "_ok", "_digits", "_bare")
+    return fence(step, ["value_status", *NUMBER_COLUMNS], df.columns)
 
 
 def with_rebuilt_text(df: DataFrame, output: str) -> DataFrame:
@@ -170,4 +181,4 @@ def with_decimal_sum(df: DataFrame, values: str, wanted: Column, output: str) ->
     # As one string: see the note on list-typed UDF inputs in functions.text.
     wide = _wide_sum(F.expr("if(_fits, null, array_join(transform(_terms, v -> v.text), ' '))"))
     step = step.withColumn(output, F.coalesce(decimal_text("_joined", "_power"), wide))
-    return step.drop("_terms", "_span", "_part", "_fits", "_exact_sum", "_joined", "_power")
+    return fence(step, [output], df.columns)
