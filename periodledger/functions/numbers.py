@@ -155,7 +155,8 @@ def _wide_sum(batch: pa.Array) -> pa.Array:
 def with_decimal_sum(df: DataFrame, values: str, wanted: Column, output: str) -> DataFrame:
     """Exact sum of ``values``, an ``array<struct<digits,exp,scale,text>>`` of bounded length.
 
-    A sum that fits 28 significant digits is computed as DECIMAL(38,18) in the JVM. The rare
+    A sum that fits 28 significant digits is computed as DECIMAL(37,18) in the JVM (adding two
+    DECIMAL(38,18) would cost the last digit of the scale). The rare
     rest (NULL for all other rows) goes to decimal arithmetic in one Arrow UDF, which rounds
     to 28 significant digits.
     """
@@ -167,11 +168,11 @@ def with_decimal_sum(df: DataFrame, values: str, wanted: Column, output: str) ->
     })
     # 1000 addends add at most three digits to the longest whole part.
     step = step.withColumn("_part", F.col("_span.part")).withColumn("_fits", F.expr(f"""
-        coalesce(_span.whole + _part <= {SUM_PRECISION - 3} and _part <= 18 and _span.whole <= 17
+        coalesce(_span.whole + _part <= {SUM_PRECISION - 3} and _part <= 18 and _span.whole <= 16
                  and not _span.raised and size(_terms) <= 1000, true)"""))
     step = step.withColumn("_exact_sum", F.expr("""
-        if(_fits, cast(aggregate(_terms, cast(0 as decimal(38,18)),
-                                 (a, v) -> cast(a + cast(v.text as decimal(38,18)) as decimal(38,18))) as string), null)"""))
+        if(_fits, cast(aggregate(_terms, cast(0 as decimal(37,18)),
+                                 (a, v) -> cast(a + cast(v.text as decimal(35,18)) as decimal(37,18))) as string), null)"""))
     # The sum is written with as many decimals as its most precise addend.
     step = step.withColumns({
         "_joined": F.expr("coalesce(nullif(trim(leading '0' from concat(substring_index(_exact_sum, '.', 1),"
