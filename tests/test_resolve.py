@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from periodledger.operators.flatten import flatten_reports
 from periodledger.operators.resolve import lineage, months_of, resolve_months, selected_sources, summarize_native, summarize_period
 from periodledger.operators.timeselect import requested_rows, select_time
+from periodledger.sources.scratch import materialize
 
 SUMMER = select_time(years=[2024], months=[6, 7, 8])
 
@@ -155,9 +156,9 @@ def _random_records(spark, seed, n=4000):
 
     df = with_number(df, clean="clean", raw="clean", present="p")
     null = F.lit(None)
-    return rows, df.withColumns({
+    return rows, materialize(df.withColumns({
         "aggregation_eligible": F.col("value_decimal").isNotNull(), "report_quarter": null.cast("int"), "source_row_report_id": F.lit(""),
-        "json_pointer": F.col("row_json_pointer"), "enterprise_name": F.lit("n"), "pollutant_code": F.lit("A"), "pollutant_name": F.lit("A"), "dimension": F.lit("mass")})
+        "json_pointer": F.col("row_json_pointer"), "enterprise_name": F.lit("n"), "pollutant_code": F.lit("A"), "pollutant_name": F.lit("A"), "dimension": F.lit("mass")}), "random")
 
 
 def _brute(rows, periods):
