@@ -99,7 +99,7 @@ SELECT (SELECT count(*) FROM judged WHERE NOT unsound) AS report_files_checked,
 
 def _two_runs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """A run and an independent second one that differs in known places."""
-    left = fixtures.records(spark, sf_dir).withColumn("access_utc", F.lit("first"))
+    left = materialize(fixtures.records(spark, sf_dir), "records").withColumn("access_utc", F.lit("first"))
     e = _number()
     right = left.where(~((F.col("pollutant_code") == "A21026") & (e % 17 == 4))).withColumns({
         "value_raw": F.when((e % 13 == 3) & (F.col("month") == 5), F.concat("value_raw", F.lit("!"))).otherwise(F.col("value_raw")),

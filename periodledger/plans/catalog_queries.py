@@ -13,6 +13,7 @@ from periodledger.plans import fixtures, oracles
 from periodledger.plans.common import CROSS_YEAR, QUARTER, sql_list, text
 from periodledger.plans.resolve_queries import native_sql
 from periodledger.plans.time_queries import INDEX
+from periodledger.sources.scratch import materialize
 
 SEARCH = 1000  # suppliers per archived search
 
@@ -253,7 +254,7 @@ FROM ent CROSS JOIN yr LEFT JOIN cls ON cls.e = ent.e AND cls.index_year = year
 def q_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The coverage row of a run over all reports; every eleventh enterprise has one report in
     a format that cannot be read."""
-    records = requested_rows(fixtures.records(spark, sf_dir), QUARTER)
+    records = materialize(requested_rows(fixtures.records(spark, sf_dir), QUARTER), "records")
     index = with_report_period(fixtures.index_entries(spark, sf_dir)).where(F.col("period_error").isNull())
     unreadable = (F.substring("enterprise_id", 2, 20).cast("bigint") % 11 == 0) & (F.col("type") == "年报")
     manifest = index.select("report_id", F.when(unreadable, "unsupported_or_invalid").otherwise("downloaded").alias("status"))

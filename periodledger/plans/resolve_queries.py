@@ -10,6 +10,7 @@ from periodledger.operators import resolve
 from periodledger.operators.timeselect import TimeSelection
 from periodledger.plans import fixtures, oracles
 from periodledger.plans.common import CROSS_YEAR, GROUP, ONE_YEAR, PARTIAL, QUARTER, joined
+from periodledger.sources.scratch import materialize
 
 
 def _summary(selection: TimeSelection):
@@ -62,8 +63,13 @@ SELECT {oracles.GROUP}, 'main_outlet' AS scope, period_kind, array_to_string(cov
 FROM vals LEFT JOIN dups USING ({oracles.GROUP}, period_kind, covered)"""
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records as a written table, as a run keeps them: several readers, computed once."""
+    return materialize(fixtures.records(spark, sf_dir), "records")
+
+
 def q_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = resolve.lineage(fixtures.records(spark, sf_dir), QUARTER)
+    rows = resolve.lineage(_stored(spark, sf_dir), QUARTER)
     return rows.select(*GROUP[:5], "period", "report_id", "report_type", "json_pointer", "value_raw", "value", "aggregation_eligible", "selected")
 
 
@@ -76,7 +82,7 @@ FROM cand c JOIN months m USING ({oracles.GROUP}, period)"""
 
 
 def q_selected_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sources = resolve.selected_sources(resolve.lineage(fixtures.records(spark, sf_dir), QUARTER))
+    sources = resolve.selected_sources(resolve.lineage(_stored(spark, sf_dir), QUARTER))
     return sources.groupBy("enterprise_id", "period", "report_type").agg(F.count(F.lit(1)).alias("sources"), F.sum("value").alias("total"))
 
 
