@@ -43,9 +43,9 @@ def with_pollutant(df: DataFrame, code: str, name: str) -> DataFrame:
     step = df.withColumns({"_code": F.upper(F.col(code)), "_key": fold_key(F.col(name))})
     step = step.withColumns({
         "_known": F.try_element_at(literal_map({c: d for c, (d, _) in vocab.POLLUTANTS.items()}), F.col("_code")),
-        "_aliases": F.try_element_at(
-            F.create_map(*[x for c, (_, names) in vocab.POLLUTANTS.items()
-                           for x in (F.lit(c), F.array(*[F.lit(fold_python(n)) for n in names]))]), F.col("_code")),
+        "_aliases": F.try_element_at(F.expr("map(" + ", ".join(
+            f"'{c}', array(" + ", ".join(f"'{fold_python(n)}'" for n in names) + ")"
+            for c, (_, names) in vocab.POLLUTANTS.items()) + ")"), F.col("_code")),
         "_by_name": F.try_element_at(literal_map(_names()), F.col("_key")),
     })
     step = step.withColumn("pollutant_name", F.coalesce("_known", "_by_name", name))
