@@ -132,27 +132,36 @@ def signatures(shingles: np.ndarray, first: np.ndarray, which: np.ndarray) -> tu
     return np.concatenate(found), np.concatenate(owners)
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: set[int] = set()  # sets this task has signed
+def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = buffers(batch.column(1))
         for lo, hi in ranges(offsets):
             shingles, first = shingle_sets(data, offsets, lo, hi)
             sizes, keys = np.diff(first), set_keys(shingles, first)
-            new = []
-            for i, key in enumerate(keys.tolist()):
-                if sizes[i] and key not in seen:
-                    seen.add(key)
-                    new.append(i)
-            which = np.array(new, np.int64)
-            made, owner = signatures(shingles, first, which) if len(which) else (np.empty(0, np.uint64), np.empty(0, np.int64))
-            order = np.argsort(owner, kind="stable")
-            counts = np.zeros(hi - lo, np.int64)
-            counts[which] = np.bincount(owner, minlength=len(which))
-            ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(lo, hi - lo), pa.array(sizes), pa.array(keys.view(np.int64), mask=sizes == 0),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(made[order].view(np.int64)))], names=["doc_id", "n_shingles", "key", "signatures"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sizes), pa.array(keys.view(np.int64), mask=sizes == 0)], names=["doc_id", "n_shingles", "key"])
+
+
+def _new_sets(keys: np.ndarray, wanted: np.ndarray, seen: set[int]) -> np.ndarray:
+    """Which of the wanted sets this task has not met before."""
+    new = []
+    for i in np.flatnonzero(wanted).tolist():
+        if keys[i] not in seen:
+            seen.add(keys[i])
+            new.append(i)
+    return np.array(new, np.int64)
+
+
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen: set[int] = set()
+    for batch in batches:
+        data, offsets = buffers(batch.column(0))
+        for lo, hi in ranges(offsets):
+            shingles, first = shingle_sets(data, offsets, lo, hi)
+            keys = set_keys(shingles, first)
+            which = _new_sets(keys, np.diff(first) > 0, seen)
+            if len(which):
+                made, owner = signatures(shingles, first, which)
+                yield pa.RecordBatch.from_arrays([pa.array(made.view(np.int64)), pa.array(keys[which][owner].view(np.int64))], names=["signature", "key"])
 
 
 def _shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,8 +200,9 @@ def _shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch_of(sig[keep], place[keep], lead[keep], key[keep])
 
 
-def shared_signatures(signed: DataFrame) -> DataFrame:
-    rows = signed.select(F.explode("signatures").alias("signature"), "key").repartition("signature").sortWithinPartitions("signature", "key")
+def shared_signatures(docs: DataFrame) -> DataFrame:
+    """signature, place, lead, key of the signatures that two sets or more have."""
+    rows = docs.select("text").mapInArrow(_sign, "signature long, key long").repartition("signature").sortWithinPartitions("signature", "key")
     return rows.mapInArrow(_shared_only, "signature long, place long, lead long, key long")
 
 
@@ -218,39 +228,62 @@ def _passing(passed, bits: int):
                 sizes, keys = np.diff(first), set_keys(shingles, first)
                 at = mix(keys ^ ids[lo:hi]) % np.uint64(bits)
                 hit = (field[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)
-                which = []
-                for i in np.flatnonzero((hit == 1) & (sizes > 0)).tolist():
-                    if keys[i] not in seen:
-                        seen.add(keys[i])
-                        which.append(i)
-                if which:
+                which = _new_sets(keys, (hit == 1) & (sizes > 0), seen)
+                if len(which):
+                    own = [shingles[first[i]:first[i + 1]] for i in which]
                     ends = np.concatenate([[0], np.cumsum(sizes[which])]).astype(np.int32)
-                    made = np.concatenate([shingles[first[i]:first[i + 1]] for i in which]).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[which].view(np.int64)), pa.array(sizes[which]), pa.ListArray.from_arrays(pa.array(ends), pa.array(made))],
-                                                     names=["key", "n", "shingles"])
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(keys[which].view(np.int64)), pa.array(sizes[which]), pa.array([outline(x) for x in own], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own).view(np.int64)))], names=["key", "n", "outline", "shingles"])
     return run
 
 
-def compared_sets(docs: DataFrame, signed: DataFrame, shared: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """key, n, shingles of the sets that share a signature, made again from the text of one document each. Which
+def compared_sets(docs: DataFrame, known: DataFrame, shared: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """key, n, outline, shingles of the sets that share a signature, made again from the text of one document each. Which
     documents these are is told by a bit field of fixed size (too full, it only lets more pass), so no text is shuffled."""
-    holder = signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    holder = known.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     wanted = holder.join(shared.select("key").distinct(), "key", "left_semi").select("key", F.xxhash64("doc_id").alias("id"))
     slots = wanted.mapInArrow(_slots(bits), "slot int, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most bits / 64 rows
     field = np.zeros(bits // 64, np.uint64)
     if slots.num_rows:
         field[slots.column("slot").to_numpy()] = slots.column("bits").to_numpy().view(np.uint64)
     passed = docs.sparkSession.sparkContext.broadcast(field)
-    return docs.select(F.xxhash64("doc_id").alias("id"), "text").mapInArrow(_passing(passed, bits), "key long, n long, shingles array<long>")
+    return docs.select(F.xxhash64("doc_id").alias("id"), "text").mapInArrow(_passing(passed, bits), "key long, n long, outline binary, shingles array<long>")
+
+
+def outline(shingles: np.ndarray) -> bytes:
+    """One bit for each shingle, among twice as many bits or more (a power of two, 64 at least)."""
+    size = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+    bits = np.zeros(size, bool)
+    bits[(shingles & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _may_be_near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drops pairs whose outlines prove them apart: a bit that only one outline has is a shingle that only one set has."""
+    for batch in batches:
+        a, b, n_a, n_b, o_a, o_b = batch.columns
+        keep = []
+        for n, m, x, y in zip(n_a.to_pylist(), n_b.to_pylist(), o_a, o_b):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            size = min(len(x), len(y))
+            x, y = np.bitwise_or.reduce(x.reshape(-1, size)), np.bitwise_or.reduce(y.reshape(-1, size))
+            most = min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
+            keep.append(100 * most >= 80 * (n + m - most))
+        yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set keys whose Jaccard similarity is 4/5 or more, compared exactly."""
-    left = sets.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
-    right = sets.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
+    """The pairs (a, b) of set keys whose Jaccard similarity is 4/5 or more, compared exactly. Sizes and outlines
+    (a bit or two a shingle) sort out most other pairs before whole sets are sent."""
+    def side(name: str, *columns: str) -> DataFrame:
+        return sets.select(F.col("key").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+
     near = 5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b")
-    both = pairs.join(right, "b").join(left, "a").where(near)
-    common = both.withColumn("common", F.size(F.array_intersect("s_a", "s_b")))
+    outlined = pairs.join(side("b", "n", "outline"), "b").join(side("a", "n", "outline"), "a").where(near)
+    left = materialize(outlined.select("a", "b", "n_a", "n_b", "outline_a", "outline_b").mapInArrow(_may_be_near, "a long, b long").distinct(), "jaccard-near")
+    both = left.join(side("b", "n", "shingles"), "b").join(side("a", "n", "shingles"), "a")
+    common = both.withColumn("common", F.size(F.array_intersect("shingles_a", "shingles_b")))
     return common.where(100 * F.col("common") >= 80 * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b").distinct()
 
 
@@ -272,14 +305,14 @@ def components(edges: DataFrame) -> DataFrame:
     return materialize(found, "jaccard-classes")
 
 
-def linked_classes(docs: DataFrame, signed: DataFrame) -> DataFrame | None:
+def linked_classes(docs: DataFrame, known: DataFrame) -> DataFrame | None:
     """key, class of all sets that are linked with another set; None if no two sets share a signature."""
     spark = docs.sparkSession
-    live = materialize(shared_signatures(signed), "jaccard-shared")
+    live = materialize(shared_signatures(docs), "jaccard-shared")
     if live.isEmpty():
         return None
     release(spark)
-    sets = materialize(compared_sets(docs, signed, live), "jaccard-sets")
+    sets = materialize(compared_sets(docs, known, live), "jaccard-sets")
     done = found = classes = None
     start, width = 0, 1
     while True:
@@ -308,20 +341,16 @@ def linked_classes(docs: DataFrame, signed: DataFrame) -> DataFrame | None:
             return classes
 
 
-def sign(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, key of the set (null if empty), and the signatures where the task had not signed the set yet."""
-    return materialize(docs.select("doc_id", "text").mapInArrow(_sign, _signed_schema(docs)), "jaccard-signed")
-
-
-def _signed_schema(docs: DataFrame) -> str:
-    return f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, key long, signatures array<long>"
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, key of the set (null if empty)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return materialize(docs.select("doc_id", "text").mapInArrow(_sized, f"doc_id {kind}, n_shingles long, key long"), "jaccard-sized")
 
 
 def classes_of(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id of its class)."""
-    signed = sign(docs)
-    classes = linked_classes(docs, signed)
-    known = signed.select("doc_id", "n_shingles", "key")
+    known = sized(docs)
+    classes = linked_classes(docs, known)
     placed = known.withColumn("class", F.col("key")) if classes is None else known.join(classes, "key", "left").withColumn("class", F.coalesce("class", "key"))
     placed = materialize(placed.select("doc_id", "n_shingles", "class"), "jaccard-placed")
     smallest = placed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("smallest"))
