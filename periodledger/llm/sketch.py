@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..sources.scratch import materialize
+from .common import release
 
 CELLS = 12
 LARGER = 4
@@ -101,20 +102,23 @@ def as_text(sketch: Column) -> Column:
 
 
 def reconcile(pairs: DataFrame, first_size: int = CELLS) -> DataFrame:
-    """``pairs``: pair, a, b (distinct digests). Adds differing: the recovered digests, with larger sketches where needed."""
+    """``pairs``: pair, a, b (distinct digests). Returns pair, both (digests of both) and differing (the
+    recovered ones), with larger sketches where needed."""
     done, size = [], first_size
     open_ = pairs.select("pair", "a", "b")
     while True:
-        tried = materialize(open_.withColumn("differing", peel(subtract(cells(F.col("a"), size), cells(F.col("b"), size)), size)), "sketch-peeled")
-        done.append(tried.where("differing is not null"))
+        peeled = open_.withColumn("differing", peel(subtract(cells(F.col("a"), size), cells(F.col("b"), size)), size))
+        again = [F.when(F.col("differing").isNull(), F.col(c)).alias(c) for c in ("a", "b")]
+        tried = materialize(peeled.select("pair", (F.size("a") + F.size("b")).alias("both"), "differing", *again), "sketch-peeled")
+        done.append(tried.where("differing is not null").select("pair", "both", "differing"))
         open_ = tried.where("differing is null").select("pair", "a", "b")
         if open_.isEmpty():
             return reduce(DataFrame.union, done)
         size *= LARGER
 
 
-def likeness(a: Column, b: Column, differing: Column) -> Column:
-    return 1.0 - F.size(differing) / (F.size(a) + F.size(b))
+def likeness(both: Column, differing: Column) -> Column:
+    return 1.0 - F.size(differing) / both
 
 
 def _in_order(docs: DataFrame) -> DataFrame:
@@ -150,10 +154,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     versions = edited_versions(docs).select(
         "doc_id", "key", "after", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("new"))
     versions = materialize(versions.withColumn("row", F.monotonically_increasing_id()), "sketch-versions")
+    release(docs.sparkSession)  # the shuffled texts
     each = versions.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("row"))).where("nth = 1")
     following = versions.join(each.select(F.col("key").alias("after"), F.col("own").alias("next")), "after")
     pairs = versions.select((F.col("row") * 2).alias("pair"), F.col("own").alias("a"), F.col("new").alias("b")).union(following.select(F.col("row") * 2 + 1, "own", "next"))
-    alike = reconcile(pairs).select("pair", likeness(F.col("a"), F.col("b"), F.col("differing")).alias("near"))
+    alike = reconcile(pairs).select("pair", likeness(F.col("both"), F.col("differing")).alias("near"))
     near = alike.groupBy(F.shiftright("pair", 1).alias("row")).agg(
         F.max(F.when(F.col("pair") % 2 == 0, F.col("near"))).alias("near_edited"), F.max(F.when(F.col("pair") % 2 == 1, F.col("near"))).alias("near_next"))
     return versions.join(near, "row").select("doc_id", "n_chars", "edited_sha256", as_text(cells(F.col("own"))).alias("fingerprint"), as_text(cells(F.col("new"))).alias("edited_fingerprint"), "near_edited", "near_next")
