@@ -32,8 +32,9 @@ from .words import buffers, span_hashes
 
 # Fixed value: the pre-token pattern of byte-level BPE.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBERED = 600_000
-WINDOW = 1 << 22
+REMEMBERED = 350_000
+WINDOW = 1 << 21
+ROWS = 500
 _NONE = 1 << 62
 # Bytes before which a blank is no cut: blanks, and lead bytes of letters among which there are blanks.
 _UNCUT = np.zeros(256, bool)
@@ -80,7 +81,7 @@ class Vocabulary:
 
     def _forget(self) -> None:
         self.pieces: dict[int, int] = {}
-        self.start, self.length, self.arena = [], [], array.array("i")
+        self.start, self.length, self.arena = array.array("q"), array.array("q"), array.array("i")
 
     def merge(self, ids: list[int]) -> list[int]:
         """All merges of one pre-token, by the segment tree."""
@@ -202,8 +203,8 @@ class Vocabulary:
                 self.arena.extend(ids)
             places.append(place)
         start, length = self.start, self.length
-        begin = np.array([start[p] for p in places], np.int64)[back]
-        size = np.array([length[p] for p in places], np.int64)[back]
+        places = np.array(places, np.int64)
+        begin, size = np.array(start)[places][back], np.array(length)[places][back]
         ends = np.cumsum(size)
         where = np.repeat(begin - (ends - size), size) + np.arange(ends[-1])
         return np.frombuffer(self.arena, np.int32)[where], size
@@ -240,12 +241,18 @@ def _decode_batch(shared, batch: pa.RecordBatch) -> list[pa.Array]:
     ids = batch.column(batch.schema.names.index("ids"))
     if ids.null_count:
         ids = pc.fill_null(ids, pa.scalar([], ids.type))
-    flat = pa.LargeListArray.from_arrays(pa.array(np.asarray(ids.offsets).astype(np.int64) - ids.offsets[0].as_py()), known.token_array.take(ids.flatten()))
-    joined = pc.binary_join(flat, pa.scalar(b"", pa.large_binary()))
+    parts = [_joined(known.token_array, ids.slice(i, ROWS)) for i in range(0, len(ids), ROWS)]
+    return [pa.concat_arrays(parts) if parts else pa.array([], pa.string())]
+
+
+def _joined(tokens: pa.Array, ids: pa.Array) -> pa.Array:
+    """The texts of a few rows of ids."""
+    ends = np.asarray(ids.offsets).astype(np.int64)
+    joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends - ends[0]), tokens.take(ids.flatten())), pa.scalar(b"", pa.large_binary()))
     try:
-        return [joined.cast(pa.large_string()).cast(pa.string())]
+        return joined.cast(pa.large_string()).cast(pa.string())
     except pa.ArrowInvalid:
-        return [pa.array([x.as_py().decode("utf-8", "replace") for x in joined], pa.string())]
+        return pa.array([x.as_py().decode("utf-8", "replace") for x in joined], pa.string())
 
 
 def encode(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
