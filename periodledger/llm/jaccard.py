@@ -1,16 +1,22 @@
 """Exact Jaccard join of word-shingle sets by PartEnum signatures, as classes of linked documents.
 
 Sets whose sizes lie in one band are joined as a Hamming-distance join: with Jaccard similarity of 4/5 or more, sets of
-r and s shingles differ in at most (r + s) / 9. The shingle domain (64-bit hashes) is cut into n equal ranges, with n
-above the band's largest distance k. A pair differs in at most k ranges, so some range holds the same shingles in both;
-the shingles of each range, hashed together, are the signatures, and similar sets share one. Bands grow by 5/4, and a
-set also signs for the band below its own, where smaller partners are.
+r and s shingles differ in at most (r + s) / 9. The shingle domain (64-bit hashes) is cut into n equal ranges, about
+3/2 of the band's largest distance k. A pair differs in at most k ranges, so n - k ranges hold the same shingles in both;
+the shingles of each range, hashed together, are the signatures. Bands grow by 5/4, and a set also signs for the band
+below its own, where smaller partners are.
+
+Since a pair shares n - k of n signatures, it shares one among the k + 1 that come first in any order kept by all sets.
+That order is by how many sets have a signature, rarest first, and a set keeps those k + 1 only. Ranges that hold
+nothing but a passage that many documents repeat are common and go, so such a passage brings no documents together
+unless it fills most of them.
 
 Empty ranges would be shared by everybody and are not signed. A pair can then be lost only if both sets fill k ranges or
 fewer; such sets sign a second, finer partition too, and those that are sparse there as well share one signature a band.
 
 Copies sign once a task. Signatures are shuffled once; a pass over the sorted rows keeps those that different sets share
-and numbers the sets of each, holding one row. Links are then found without emitting all pairs of a signature: in each
+and counts their sets up to ``COUNTED`` (more are the most common ones alike: this only orders them), holding no more rows
+than that. What a set keeps is sorted by signature again and numbered, holding one row. Links are then found without emitting all pairs of a signature: in each
 round the next sets of a signature (1, 8, 64, ...) are compared with the later ones that are not yet in the same class, the
 found links are contracted to classes, and signatures within one class are done. Every pair that shares a signature is
 compared or already connected, so no link is lost; rounds are logarithmic in the largest group.
@@ -40,6 +46,7 @@ from .words import buffers, mix, ranges, words
 SHINGLE = 5
 _PLACE = np.random.default_rng(555).integers(0, 2**64, SHINGLE, dtype=np.uint64) | np.uint64(1)
 FILTER_BITS = 1 << 24
+COUNTED = 1 << 16
 
 
 # ---- sets -----------------------------------------------------------------------------------------------------------
@@ -108,28 +115,33 @@ def _signed(shingles, first, which, band, parts, seed) -> tuple[np.ndarray, np.n
     return mix(together ^ mix(label)), owner
 
 
-def signatures(shingles: np.ndarray, first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All signatures of the texts ``which`` (with filled sets): (signature, index of the text in ``which``)."""
+def signatures(shingles: np.ndarray, first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All signatures of the texts ``which`` (with filled sets): signature, index of the text in ``which``, family (band and
+    partition) and how many of the text's signatures of this family can be spared, the most common ones."""
     tops, distance = bands()
     own_band = np.searchsorted(tops, np.diff(first)[which])
-    found, owners = [], []
+    found, owners, families, spare = [], [], [], []
+
+    def add(made, owner, family, spared):
+        for column, values in zip((found, owners, families, spare), (made, owner, family, spared)):
+            column.append(values)
+
     for below in (0, 1):
         member = np.flatnonzero(own_band >= below)
         for seed in (0, 1):
             band = own_band[member] - below
             k = distance[band]
-            parts = (k + 1) + k // 12 + 5 if seed == 0 else 3 * (k + 1) + 16
+            parts = (k + 1) + k // 2 + 5 if seed == 0 else 3 * (k + 1) + 16
             made, owner = _signed(shingles, first, which[member], band, parts, seed)
-            found.append(made)
-            owners.append(member[owner])
-            sparse = np.bincount(owner, minlength=len(member)) <= k
-            member = member[sparse]
+            filled = np.bincount(owner, minlength=len(member))
+            add(made, member[owner], (band * 4 + seed)[owner], np.maximum(filled - k - 1, 0)[owner])
+            member = member[filled <= k]
             if not len(member):
                 break
         else:
-            found.append(mix((own_band[member] - below).astype(np.uint64) + np.uint64(0x5EED << 32)))
-            owners.append(member)
-    return np.concatenate(found), np.concatenate(owners)
+            band = own_band[member] - below
+            add(mix(band.astype(np.uint64) + np.uint64(0x5EED << 32)), member, band * 4 + 2, np.zeros(len(member), np.int64))
+    return tuple(np.concatenate(x) for x in (found, owners, families, spare))
 
 
 def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,8 +172,56 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = set_keys(shingles, first)
             which = _new_sets(keys, np.diff(first) > 0, seen)
             if len(which):
-                made, owner = signatures(shingles, first, which)
-                yield pa.RecordBatch.from_arrays([pa.array(made.view(np.int64)), pa.array(keys[which][owner].view(np.int64))], names=["signature", "key"])
+                made, owner, family, spare = signatures(shingles, first, which)
+                columns = made.view(np.int64), keys[which][owner].view(np.int64), family << 40 | spare
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["signature", "key", "kind"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by signature and key: those of two sets or more, with the number of sets (``COUNTED`` if more)."""
+    held: list[np.ndarray] | None = None  # rows of the last signature, whose end is not yet seen
+    common = None  # signature and key of the row before, if its signature was given out as common already
+
+    def rows(columns, count):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (*columns, count)], names=["signature", "key", "kind", "sets"])
+
+    for batch in batches:
+        columns = [np.asarray(c) for c in batch.columns]
+        if held is not None:
+            columns = [np.concatenate(x) for x in zip(held, columns)]
+        sig, key, _ = columns
+        if not len(sig):
+            continue
+        new = np.ones(len(sig), bool)
+        new[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
+        if common is not None:
+            new[0] = (sig[0], key[0]) != common
+        columns = [c[new] for c in columns]
+        sig, key, _ = columns
+        if common is not None:
+            run = int(np.searchsorted(sig, common[0], side="right"))  # sorted: the common signature is the least
+            if run:
+                yield rows([c[:run] for c in columns], np.full(run, COUNTED))
+                common = (common[0], key[run - 1])
+                columns = [c[run:] for c in columns]
+                sig, key, _ = columns
+            if not len(sig):
+                held = None
+                continue
+            common = None
+        starts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+        sizes = np.diff(np.append(starts, len(sig)))
+        last = int(starts[-1])
+        sets = np.repeat(np.minimum(sizes, COUNTED), sizes)
+        if sizes[-1] > COUNTED:
+            common, last, held = (sig[-1], key[-1]), len(sig), None
+        else:
+            held = [c[last:].copy() for c in columns]
+        keep = np.flatnonzero(sets[:last] > 1)
+        if len(keep):
+            yield rows([c[keep] for c in columns], sets[keep])
+    if held is not None and len(held[0]) > 1:
+        yield rows(held, np.full(len(held[0]), len(held[0])))
 
 
 def _shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,8 +261,14 @@ def _shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shared_signatures(docs: DataFrame) -> DataFrame:
-    """signature, place, lead, key of the signatures that two sets or more have."""
-    rows = docs.select("text").mapInArrow(_sign, "signature long, key long").repartition("signature").sortWithinPartitions("signature", "key")
+    """signature, place, lead, key of the signatures that two sets or more keep."""
+    made = docs.select("text").mapInArrow(_sign, "signature long, key long, kind long").repartition("signature").sortWithinPartitions("signature", "key")
+    counted = materialize(made.mapInArrow(_counted, "signature long, key long, kind long, sets long"), "jaccard-counted")
+    release(docs.sparkSession)
+    family = F.shiftright("kind", 40)
+    common = F.row_number().over(Window.partitionBy("key", family).orderBy(F.desc("sets"), "signature"))  # as many rows as the set has signatures
+    kept = counted.withColumn("nth", common).where(F.col("nth") > F.col("kind").bitwiseAND(F.lit((1 << 40) - 1))).select("signature", "key")
+    rows = kept.repartition("signature").sortWithinPartitions("signature", "key")
     return rows.mapInArrow(_shared_only, "signature long, place long, lead long, key long")
 
 

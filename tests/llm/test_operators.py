@@ -177,10 +177,38 @@ def test_jaccard(spark, docs, rows):
 def test_sparse_sets_are_signed():
     # All shingles in one range: the finer partition and, where that is filled by one range too, the band's own signature.
     base = np.arange(40, dtype=np.uint64)
-    found, owner = jaccard.signatures(np.concatenate([base, base + np.uint64(2)]), np.array([0, 40, 80]), np.array([0, 1]))
+    found, owner, _, spare = jaccard.signatures(np.concatenate([base, base + np.uint64(2)]), np.array([0, 40, 80]), np.array([0, 1]))
+    assert not spare.any()
     assert set(found[owner == 0].tolist()) & set(found[owner == 1].tolist())
 
 
+@pytest.mark.parametrize("size", [1, 3, 7, 1000])
+def test_signatures_are_counted(monkeypatch, size):
+    monkeypatch.setattr(jaccard, "COUNTED", 5)
+    rng = np.random.default_rng(size)
+    drawn = sorted((int(s), int(k)) for s, k in zip(rng.choice([1, 2, 3, 4, 5, 6, 7], 300, p=[0.02, 0.5, 0.02, 0.02, 0.4, 0.02, 0.02]), rng.integers(0, 40, 300)))
+    drawn += [(8, 1), (8, 1), (9, 2)]  # copies of one set are one
+    columns = [pa.array([x[0] for x in drawn]), pa.array([x[1] for x in drawn]), pa.array([x[1] * 10 for x in drawn])]
+    whole = pa.RecordBatch.from_arrays(columns, names=["signature", "key", "kind"])
+    found = [tuple(r.values()) for b in jaccard._counted(whole.slice(i, size) for i in range(0, len(drawn), size)) for r in b.to_pylist()]
+    distinct = sorted(set(drawn))
+    sets = collections.Counter(s for s, _ in distinct)
+    assert found == [(s, k, k * 10, min(sets[s], 5)) for s, k in distinct if sets[s] > 1]
+
+
+def test_shared_passages_are_no_candidates(spark):
+    # Texts that are alike in half of their words share no signature they keep; near copies among them do.
+    rng = np.random.default_rng(5)
+    passage = [f"p{i}" for i in range(200)]
+    texts = [(i, " ".join(passage + [f"w{x}" for x in rng.integers(0, 10**9, 200)])) for i in range(60)]
+    texts += [(100 + i, t + " tail of its own") for i, t in texts[:3]]
+    made = spark.createDataFrame(texts, "doc_id long, text string")
+    keys = {r.key for r in jaccard.shared_signatures(made).select("key").distinct().collect()}
+    assert 6 <= len(keys) < 20
+    linked = {r.doc_id: r.component_id for r in jaccard.classes_of(made).collect()}
+    assert linked == {i: i - 100 if i >= 100 else i for i, _ in texts}
+
+
 def test_outlines_pass_near_pairs():
     a = np.random.default_rng(3).integers(0, 2**64, 1000, dtype=np.uint64)
     b = np.concatenate([a[:900], np.random.default_rng(4).integers(0, 2**64, 220, dtype=np.uint64)])
