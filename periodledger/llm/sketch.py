@@ -141,8 +141,8 @@ def edited_versions(docs: DataFrame) -> DataFrame:
     kept = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("\x00null")), "text"))
     chain = materialize(_in_order(kept.select("key", "doc_id", F.length("text").alias("n_chars"))), "sketch-chain")
     keyed = kept.join(chain, "key")
-    one = Window.partitionBy("before").orderBy(F.lit(1))
-    beginnings = keyed.select("before", F.substring(F.col("text"), F.lit(1), F.col("need")).alias("beginning")).withColumn("nth", F.row_number().over(one)).where("nth = 1")
+    one = Window.partitionBy("before").orderBy("doc_id")  # asks for the same columns as below, so that one shuffle of the texts serves both
+    beginnings = keyed.select("before", "doc_id", F.substring(F.col("text"), F.lit(1), F.col("need")).alias("beginning")).withColumn("nth", F.row_number().over(one)).where("nth = 1")
     rest = keyed.join(beginnings.select(F.col("before").alias("key"), "beginning"), "key")
     n = F.length("text")
     stays = F.substring(F.col("text"), F.lit(1), (n - F.floor(n / 2)).cast("int"))
