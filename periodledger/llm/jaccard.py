@@ -9,7 +9,7 @@ below its own, where smaller partners are.
 Since a pair shares n - k of n signatures, it shares one among the k + 1 that come first in any order kept by all sets.
 That order is by how many sets have a signature, rarest first, and a set keeps those k + 1 only. Ranges that hold
 nothing but a passage that many documents repeat are common and go, so such a passage brings no documents together
-unless it fills most of them.
+unless it fills most of them. For each set, k comes from its own size.
 
 Empty ranges would be shared by everybody and are not signed. A pair can then be lost only if both sets fill k ranges or
 fewer; such sets sign a second, finer partition too, and those that are sparse there as well share one signature a band.
@@ -17,9 +17,9 @@ fewer; such sets sign a second, finer partition too, and those that are sparse t
 Copies sign once a task. Signatures are shuffled once; a pass over the sorted rows keeps those that different sets share
 and counts their sets up to ``COUNTED`` (more are the most common ones alike: this only orders them), holding no more rows
 than that. What a set keeps is sorted by signature again and numbered, holding one row. Links are then found without emitting all pairs of a signature: in each
-round the next sets of a signature (1, 8, 64, ...) are compared with the later ones that are not yet in the same class, the
-found links are contracted to classes, and signatures within one class are done. Every pair that shares a signature is
-compared or already connected, so no link is lost; rounds are logarithmic in the largest group.
+round the next sets of a signature (1, 8, 64, ...) meet the later ones that are not yet in the same class; pairs that
+their ``FOLDS`` (512 bits of a set) prove apart are not emitted, the others are compared, the found links are contracted to classes, and signatures within one class are done. Every pair that shares a signature is
+compared, proved apart or already connected, so no link is lost; rounds are logarithmic in the largest group.
 
 Shingles are compared by their 64-bit hashes, sets are identified by a 64-bit hash of all their shingles.
 
@@ -31,11 +31,12 @@ shingle; equal rows and copies are in one class; a null id takes part, its class
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -47,6 +48,7 @@ SHINGLE = 5
 _PLACE = np.random.default_rng(555).integers(0, 2**64, SHINGLE, dtype=np.uint64) | np.uint64(1)
 FILTER_BITS = 1 << 24
 COUNTED = 1 << 16
+FOLDS = [f"fold{i}" for i in range(8)]
 
 
 # ---- sets -----------------------------------------------------------------------------------------------------------
@@ -119,10 +121,11 @@ def signatures(shingles: np.ndarray, first: np.ndarray, which: np.ndarray) -> tu
     """All signatures of the texts ``which`` (with filled sets): signature, index of the text in ``which``, family (band and
     partition) and how many of the text's signatures of this family can be spared, the most common ones."""
     tops, distance = bands()
-    own_band = np.searchsorted(tops, np.diff(first)[which])
+    sizes = np.diff(first)[which]
+    own_band = np.searchsorted(tops, sizes)
     found, owners, families, spare = [], [], [], []
 
-    def add(made, owner, family, spared):
+    def give(made, owner, family, spared):
         for column, values in zip((found, owners, families, spare), (made, owner, family, spared)):
             column.append(values)
 
@@ -131,16 +134,18 @@ def signatures(shingles: np.ndarray, first: np.ndarray, which: np.ndarray) -> tu
         for seed in (0, 1):
             band = own_band[member] - below
             k = distance[band]
+            largest = sizes[member] * 5 // 4  # a partner's size
+            own_k = np.minimum(k, (sizes[member] + (np.minimum(largest, tops[band]) if below else largest)) // 9)
             parts = (k + 1) + k // 2 + 5 if seed == 0 else 3 * (k + 1) + 16
             made, owner = _signed(shingles, first, which[member], band, parts, seed)
             filled = np.bincount(owner, minlength=len(member))
-            add(made, member[owner], (band * 4 + seed)[owner], np.maximum(filled - k - 1, 0)[owner])
+            give(made, member[owner], (band * 4 + seed)[owner], np.maximum(filled - own_k - 1, 0)[owner])
             member = member[filled <= k]
             if not len(member):
                 break
         else:
             band = own_band[member] - below
-            add(mix(band.astype(np.uint64) + np.uint64(0x5EED << 32)), member, band * 4 + 2, np.zeros(len(member), np.int64))
+            give(mix(band.astype(np.uint64) + np.uint64(0x5EED << 32)), member, band * 4 + 2, np.zeros(len(member), np.int64))
     return tuple(np.concatenate(x) for x in (found, owners, families, spare))
 
 
@@ -300,12 +305,12 @@ def _passing(passed, bits: int):
                     ends = np.concatenate([[0], np.cumsum(sizes[which])]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(keys[which].view(np.int64)), pa.array(sizes[which]), pa.array([outline(x) for x in own], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own).view(np.int64)))], names=["key", "n", "outline", "shingles"])
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own).view(np.int64))), *map(pa.array, folds(own))], names=["key", "n", "outline", "shingles", *FOLDS])
     return run
 
 
 def compared_sets(docs: DataFrame, known: DataFrame, shared: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """key, n, outline, shingles of the sets that share a signature, made again from the text of one document each. Which
+    """key, n, outline, shingles, folds of the sets that share a signature, made again from the text of one document each. Which
     documents these are is told by a bit field of fixed size (too full, it only lets more pass), so no text is shuffled."""
     holder = known.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     wanted = holder.join(shared.select("key").distinct(), "key", "left_semi").select("key", F.xxhash64("doc_id").alias("id"))
@@ -314,7 +319,25 @@ def compared_sets(docs: DataFrame, known: DataFrame, shared: DataFrame, bits: in
     if slots.num_rows:
         field[slots.column("slot").to_numpy()] = slots.column("bits").to_numpy().view(np.uint64)
     passed = docs.sparkSession.sparkContext.broadcast(field)
-    return docs.select(F.xxhash64("doc_id").alias("id"), "text").mapInArrow(_passing(passed, bits), "key long, n long, outline binary, shingles array<long>")
+    return docs.select(F.xxhash64("doc_id").alias("id"), "text").mapInArrow(_passing(passed, bits), "key long, n long, outline binary, shingles array<long>, " + ", ".join(f"{f} long" for f in FOLDS))
+
+
+def folds(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set 64 * len(FOLDS) bits, one set for each shingle; a row for each of FOLDS."""
+    size = 64 * len(FOLDS)
+    bits = np.zeros((len(sets), size), bool)
+    for i, own in enumerate(sets):
+        bits[i, (own & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.ascontiguousarray(np.packbits(bits, axis=1, bitorder="little").view(np.int64).T)
+
+
+def _not_apart() -> Column:
+    """Whether the folds of a and b leave it open that they are similar: a bit that only one has is a shingle that only it has."""
+    def only(x: str, y: str) -> Column:
+        return reduce(add, (F.bit_count(F.col(f"{f}_{x}").bitwiseAND(F.bitwise_not(f"{f}_{y}"))) for f in FOLDS))
+
+    most = F.least(F.col("n_a") - only("a", "b"), F.col("n_b") - only("b", "a"))
+    return 100 * most >= 80 * (F.col("n_a") + F.col("n_b") - most)
 
 
 def outline(shingles: np.ndarray) -> bytes:
@@ -385,9 +408,11 @@ def linked_classes(docs: DataFrame, known: DataFrame) -> DataFrame | None:
         if start == 0:
             pairs = live.where("place > 0").select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct()
         else:
-            leader = live.where(F.col("place") < start + width).select("signature", F.col("place").alias("before"), F.col("key").alias("a"), F.col("class").alias("class_a"))
-            pairs = (live.join(leader, "signature").where((F.col("before") < F.col("place")) & (F.col("class_a") != F.col("class")))
-                     .select("a", F.col("key").alias("b")).distinct().join(done, ["a", "b"], "left_anti"))
+            folded = live.join(sets.select("key", "n", *FOLDS), "key")
+            first, later = (folded.select("signature", F.col("place").alias(f"place_{x}"), F.col("key").alias(x), F.col("class").alias(f"class_{x}"), *[F.col(c).alias(f"{c}_{x}") for c in ("n", *FOLDS)]) for x in "ab")
+            apart = (F.col("place_a") < F.col("place_b")) & (F.col("class_a") != F.col("class_b"))
+            pairs = (later.join(first.where(F.col("place_a") < start + width), "signature").where(apart & _not_apart())
+                     .select("a", "b").distinct().join(done, ["a", "b"], "left_anti"))
         pairs = materialize(pairs, "jaccard-pairs")
         done = pairs if done is None else done.union(pairs)
         new = materialize(links(pairs, sets), "jaccard-links")
