@@ -33,6 +33,7 @@ MAX_DOCS = 10_000
 MAX_CHARS = 40_000
 BUCKETS = 1 << 17
 WIDTH = 8
+SLICE = 50_000
 SCALE = 20.0
 PRIOR = 4.0
 
@@ -114,10 +115,12 @@ def train(texts: pa.Array, labels: np.ndarray, epochs: int = 60, rate: float = 0
             out.append(x)
     hashes, docs, at, to = (np.concatenate(x) for x in (hashes, docs, at, to))
     _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
-    bucket, owner = subwords(*spans(data, at[first], to[first]))
-    kinds = len(first)
+    kinds, at, to = len(first), at[first], to[first]
     doc, word, part = shares(docs, word, kinds, len(labels))
-    per_word = np.maximum(np.bincount(owner, minlength=kinds), 1)
+    del hashes, docs, first
+    # Buckets of SLICE words at a time, so that no step makes wide copies of all of them.
+    slices = [(i, min(i + SLICE, kinds), *subwords(*spans(data, at[i:i + SLICE], to[i:i + SLICE]))) for i in range(0, max(kinds, 1), SLICE)]
+    per_word = np.maximum(np.concatenate([np.bincount(owner, minlength=hi - lo) for lo, hi, _, owner in slices]), 1)
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 0.05, (BUCKETS, WIDTH)).astype(np.float32)
     softmax = rng.normal(0, 0.3, (WIDTH, 2)).astype(np.float32)
@@ -127,10 +130,11 @@ def train(texts: pa.Array, labels: np.ndarray, epochs: int = 60, rate: float = 0
     for step in range(1, epochs + 1):
         direction = softmax[:, 1] - softmax[:, 0]
         one = embed @ direction
-        logit = np.bincount(doc, part * (np.bincount(owner, one[bucket], kinds) / per_word)[word], len(labels)) + bias[1] - bias[0]
+        summed = np.concatenate([np.bincount(owner, one[bucket], hi - lo) for lo, hi, bucket, owner in slices])
+        logit = np.bincount(doc, part * (summed / per_word)[word], len(labels)) + bias[1] - bias[0]
         error = (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - labels) / len(labels)
         to_word = np.bincount(word, part * error[doc], kinds) / per_word
-        to_bucket = np.bincount(bucket, to_word[owner], BUCKETS).astype(np.float32)
+        to_bucket = sum(np.bincount(bucket, to_word[lo:hi][owner], BUCKETS) for lo, hi, bucket, owner in slices).astype(np.float32)
         pull = embed.T @ to_bucket
         gradients = [np.outer(to_bucket, direction) + decay * embed, np.stack([-pull, pull], 1), np.array([-error.sum(), error.sum()], np.float32)]
         for value, gradient, mean, square in zip(values, gradients, means, squares):
