@@ -52,7 +52,7 @@ def period_conflicts(kind: Column, year: Column, month: Column, quarter: Column,
 
 def with_report_context(reports: DataFrame, *, allow_template_mass_unit: bool = True,
                         table_unit: str = vocab.TEMPLATE_UNIT) -> DataFrame:
-    """Add CONTEXT_COLUMNS and TEMPLATE_COLUMNS to reports.
+    """Add CONTEXT_COLUMNS, TEMPLATE_COLUMNS and ``report_time_clean`` to reports.
 
     Needs ``info`` (the body's company object), ``meta`` (provenance) and ``enterprise``, all
     string maps that may be NULL. Fallback chains take the first non-empty value.
@@ -85,6 +85,7 @@ def with_report_context(reports: DataFrame, *, allow_template_mass_unit: bool =
     month = P.text_month(text)
     step = step.withColumns({
         "report_type": report_type(F.col("_clean")[2]),
+        "report_time_clean": text,
         "permit_code": F.col("_clean")[3],
         "expected_permit_code": F.col("_clean")[4],
         "year": F.coalesce(P.text_year(text), F.when(raw_year.rlike(r"^(?:19|20)\d{2}$"), raw_year).try_cast("int")),

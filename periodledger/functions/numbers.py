@@ -43,7 +43,7 @@ def _foreign_digits() -> tuple[str, str]:
     return "".join(chars), "".join(str(unicodedata.decimal(c)) for c in chars)
 
 
-def _ascii_digits(text: Column) -> Column:
+def ascii_digits(text: Column) -> Column:
     source, target = _foreign_digits()
     return F.when(beyond_ascii(text), F.translate(text, source, target)).otherwise(text)
 
@@ -82,7 +82,7 @@ def with_number(df: DataFrame, clean: str, raw: str, present: str) -> DataFrame:
     ``present`` tells a null from an absent field.
     """
     text, key = F.col(clean), fold_case(F.col(clean))
-    step = df.withColumn("_ascii", _ascii_digits(text)).withColumn("_kind", (
+    step = df.withColumn("_ascii", ascii_digits(text)).withColumn("_kind", (
         F.when(~F.col(present), "not_reported")
         .when(F.col(raw).isNull(), "missing")
         .when(key.isin(vocab.NOT_REPORTED_TOKENS), "not_reported")

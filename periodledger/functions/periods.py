@@ -9,13 +9,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from periodledger import vocab
+from periodledger.functions.numbers import ascii_digits
 
 NO_PERIODS = "cast(array() as array<string>)"
 
 
 def _number(text: Column, pattern: str) -> Column:
+    """The number found, in digits of any script; NULL when there is none or it cannot be read."""
     found = F.regexp_extract(text, "(?U)" + pattern, 1)
-    return F.nullif(found, F.lit("")).cast("int")
+    return ascii_digits(F.nullif(found, F.lit(""))).try_cast("int")
 
 
 def text_year(text: Column) -> Column:
@@ -66,8 +68,9 @@ def month_range(start: Column, end: Column) -> Column:
 
 
 def bound_date(text: Column, end: bool = False) -> Column:
-    """Date of a ``YYYY-MM`` or ``YYYY-MM-DD`` bound; an end without day is the month end."""
-    day = F.to_date(F.rpad(text, 10, "-01"))
+    """Date of a ``YYYY-MM`` or ``YYYY-MM-DD`` bound, NULL when there is no such day; an end
+    without day is the month end."""
+    day = F.rpad(text, 10, "-01").try_cast("date")
     return F.when(F.lit(end) & (F.length(text) == 7), F.last_day(day)).otherwise(day)
 
 

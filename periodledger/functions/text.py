@@ -102,8 +102,21 @@ def clean_values(values: Column) -> Column:
     return F.when(hard, cleaned).otherwise(F.transform(values, clean_simple))
 
 
+def last_wins(mapping: Column) -> Column:
+    """A map parsed from JSON with every key once: the last value of a repeated key.
+
+    The parser keeps repeated keys, and functions that build maps fail on them. Takes a column,
+    not an expression: it is used several times over.
+    """
+    keys, behind, values = F.map_keys(mapping), F.reverse(F.map_keys(mapping)), F.reverse(F.map_values(mapping))
+    once = F.array_distinct(keys)
+    latest = F.transform(once, lambda k: F.get(values, F.array_position(behind, k).cast("int") - 1))
+    return F.when(F.size(once) < F.size(keys), F.map_from_arrays(once, latest)).otherwise(mapping)
+
+
 def clean_map(mapping: Column) -> Column:
-    """Clean every value of a string map, keeping its keys."""
+    """Clean every value of a string map, keeping its keys, of which none may be repeated
+    (:func:`last_wins`)."""
     return F.map_from_arrays(F.map_keys(mapping), clean_values(F.map_values(mapping)))
 
 

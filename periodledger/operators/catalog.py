@@ -51,10 +51,10 @@ def catalog_from_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
         "_form": html.rlike(r"""(?i)<form\b[^>]*\bid\s*=\s*["']mainForm["']"""),
         "_has_table": html.rlike(r"""(?i)<table\b[^>]*class\s*=\s*["'][^"']*\btabtd\b"""),
     })
-    step = step.withColumn("_rows", F.slice(_blocks(F.col("_table"), "tr"), 2, 100000))
+    step = step.withColumn("_rows", _blocks(F.col("_table"), "tr"))
     links = lambda r: F.filter(html_links(r), lambda h: h.contains(vocab.CATALOG_LINK))
     is_row = lambda r: (F.size(_blocks(r, "td")) > 0) | (F.size(links(r)) > 0)
-    step = step.withColumn("_rows", F.filter("_rows", is_row))
+    step = step.withColumn("_rows", F.filter("_rows", lambda r, i: (i > 0) & is_row(r)))  # the first is the heading
     step = step.withColumn("reason", F.when(~F.col("_form"), "form_absent").when(F.col("total_pages").isNull(), "page_count_absent")
                            .when(~F.col("_has_table"), "table_absent").when(F.size("_rows") == 0, "no_rows"))
     rows = step.where(F.col("reason").isNull()).select("page", "total_pages", F.posexplode("_rows").alias("pos", "_row"))

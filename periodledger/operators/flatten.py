@@ -5,6 +5,8 @@ Everything here is map-side: a report is parsed, exploded and cleaned where it i
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,9 @@ from periodledger.functions.context import (
     CONTEXT_COLUMNS, EMPTY_MAP, STRING_MAP, TEMPLATE_COLUMNS, with_report_context)
 from periodledger.functions.identity import emission_scope, with_pollutant
 from periodledger.functions.numbers import NUMBER_COLUMNS, with_number
-from periodledger.functions.text import clean_map
+from periodledger.functions.text import clean_map, last_wins
 from periodledger.functions.units import UNIT_COLUMNS, unit_evidence, with_unit
+from periodledger.sources.scratch import materialize
 
 RECORD_COLUMNS = CONTEXT_COLUMNS + UNIT_COLUMNS + [
     "month", "period_kind", "section", "scope", "outlet_code", "outlet_name", "port_type_raw",
@@ -33,14 +36,17 @@ def pointer_token(name: Column) -> Column:
 
 def parse_bodies(reports: DataFrame) -> DataFrame:
     """Add ``info`` and ``sections`` (air sections only, raw text by name) to reports with a
-    JSON ``body``. ``body_ok`` is false where the body is not a JSON object."""
-    step = reports.withColumn("_body", F.from_json("body", STRING_MAP))
-    emission = F.from_json(F.try_element_at("_body", F.lit("emissionInfo")), STRING_MAP)
-    return step.withColumns({
+    JSON ``body``. ``body_ok`` is false where the body is not a JSON object. Of a key that an
+    object repeats, the last value counts."""
+    once = lambda df, *names: df.withColumns({n: last_wins(F.col(n)) for n in names})
+    step = once(reports.withColumn("_body", F.from_json("body", STRING_MAP)), "_body")
+    step = once(step.withColumns({
         "body_ok": F.col("_body").isNotNull(),
         "info": F.from_json(F.try_element_at("_body", F.lit("companyInfo")), STRING_MAP),
-        "sections": F.map_filter(emission, lambda k, v: F.lower(k).startswith("air") & v.isNotNull()),
-    }).drop("_body", "body")
+        "_emission": F.from_json(F.try_element_at("_body", F.lit("emissionInfo")), STRING_MAP),
+    }), "info", "_emission")
+    sections = F.map_filter("_emission", lambda k, v: F.lower(k).startswith("air") & v.isNotNull())
+    return step.withColumn("sections", sections).drop("_body", "_emission", "body")
 
 
 def unparseable_bodies(reports: DataFrame) -> DataFrame:
@@ -61,6 +67,7 @@ def explode_rows(parsed: DataFrame) -> DataFrame:
         F.posexplode_outer(F.coalesce("_items", F.array("_text"))).alias("_ord", "raw_row"))
     step = step.where(F.col("_ord").isNotNull())
     step = step.withColumn("_row", F.from_json("raw_row", STRING_MAP))
+    step = step.withColumn("_row", last_wins(F.col("_row")))
     base = F.concat(F.lit("/emissionInfo/"), pointer_token(F.col("section")),
                     F.when(F.col("_is_list"), F.concat(F.lit("/"), F.col("_ord").cast("string"))).otherwise(F.lit("")))
     return step.withColumns({
@@ -104,7 +111,7 @@ def eligibility() -> Column:
 
 def _text_kind_differs() -> Column:
     """The wording of the period and the declared type name different kinds of period."""
-    time = F.coalesce(F.col("report_time"), F.lit(""))
+    time = F.coalesce(F.col("report_time_clean"), F.lit(""))
     worded = F.when(P.text_month(time).isNotNull(), "month").when(P.text_quarter(time).isNotNull(), "quarter") \
         .when(time.contains(vocab.ANNUAL_WORD), "year")
     return F.coalesce(worded != F.col("report_type"), F.lit(False))
@@ -153,36 +160,24 @@ def flatten_reports(reports: DataFrame, *, keys: list[str] | None = None, allow_
     return values.select(*keys, *RECORD_COLUMNS)
 
 
-def prune_sections(reports: DataFrame, *, keys: list[str], depth: int = 4) -> DataFrame:
+def prune_sections(reports: DataFrame, *, keys: list[str]) -> DataFrame:
     """Air parts of each body at any object depth (lists are not entered), in long form.
 
-    Columns: ``keys``, ``path``, ``value`` and ``status``: ``kept`` for the company object and
-    for air keys, ``too_deep`` for an object below ``depth`` that was not searched.
+    Columns: ``keys``, ``path``, ``value`` (NULL for a JSON null) and ``status``, which is ``kept``: the rows are the
+    company object and the entries with air keys. Objects are opened level by level, in as many jobs as the deepest
+    body has levels; each level is stored and holds only the air parts found and the objects still to open.
     """
-    entry = "array<struct<path:string,value:string,status:string>>"
-
-    def found(path: Column, value: Column, status: str) -> Column:
-        return F.struct(path.alias("path"), value.alias("value"), F.lit(status).alias("status"))
-
-    def search(text: Column, prefix: Column, left: int) -> Column:
-        entries = F.coalesce(F.map_entries(F.from_json(text, STRING_MAP)),
-                             F.expr("cast(array() as array<struct<key:string,value:string>>)"))
-        path = lambda e: F.concat(prefix, F.lit("/"), pointer_token(e["key"]))
-        is_air = lambda e: F.lower(e["key"]).startswith("air")
-        here = F.transform(F.filter(entries, is_air), lambda e: found(path(e), e["value"], "kept"))
-        inner = F.filter(entries, lambda e: ~is_air(e) & F.coalesce(
-            F.size(F.from_json(e["value"], STRING_MAP)) > 0, F.lit(False)))
-        if left == 1:
-            return F.concat(here, F.transform(inner, lambda e: found(path(e), F.lit(None).cast("string"), "too_deep")))
-        return F.concat(here, F.flatten(F.transform(inner, lambda e: search(e["value"], path(e), left - 1))))
-
-    company = F.get_json_object("body", "$.companyInfo")
-    rest = F.map_filter(F.from_json("body", STRING_MAP), lambda k, v: (k != "companyInfo") & v.isNotNull())
-    top = F.coalesce(F.map_entries(rest), F.expr("cast(array() as array<struct<key:string,value:string>>)"))
-    path = lambda e: F.concat(F.lit("/"), pointer_token(e["key"]))
-    is_air = lambda e: F.lower(e["key"]).startswith("air")
-    kept = F.transform(F.filter(top, is_air), lambda e: found(path(e), e["value"], "kept"))
-    deeper = F.flatten(F.transform(F.filter(top, lambda e: ~is_air(e)), lambda e: search(e["value"], path(e), depth - 1)))
-    company_part = F.when(company.isNotNull(), F.array(found(F.lit("/companyInfo"), company, "kept"))).otherwise(
-        F.expr(f"cast(array() as {entry})"))
-    return reports.select(*keys, F.inline(F.concat(company_part, kept, deeper)))
+    company, parts = F.col("path") == "/companyInfo", []
+    inside = reports.select(*keys, F.lit("").alias("_above"), F.from_json("body", STRING_MAP).alias("_object"))
+    while True:
+        entries = inside.withColumn("_object", last_wins(F.col("_object"))).select(*keys, "_above", F.explode("_object").alias("_key", "value"))
+        entries = entries.withColumn("path", F.concat("_above", F.lit("/"), pointer_token(F.col("_key"))))
+        air = F.lower("_key").startswith("air")
+        kept = (company & F.col("value").isNotNull()) | (~company & air)
+        entries = entries.withColumn("status", F.when(kept, "kept").when(~company & F.ltrim("value").startswith("{"), "open"))
+        level = materialize(entries.where(F.col("status").isNotNull()).select(*keys, "path", "value", "status"), "pruned-level")
+        parts.append(level.where(F.col("status") == "kept"))
+        inner = level.where(F.col("status") == "open")
+        if inner.isEmpty():
+            return reduce(DataFrame.unionByName, parts)
+        inside = inner.select(*keys, F.col("path").alias("_above"), F.from_json("value", STRING_MAP).alias("_object"))

@@ -71,11 +71,11 @@ SELECT report_type, period_kind, field, year, month, count(*) AS n, count(*) FIL
 
 
 def q_prune_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bodies with further air parts wrapped around them at several depths."""
+    """Bodies with further air parts wrapped around them at several depths, nulls among them."""
     reports = fixtures.bodies(spark, sf_dir).select("report_id", "enterprise_id", "body")
     odd = F.substring("enterprise_id", 2, 20).cast("bigint") % 2 == 1
-    extra = F.when(odd, '"monitoring":{"site":{"airQuality":"good","noise":"1"}},"a":{"b":{"c":{"d":{"airDeep":1}}}},').otherwise('"airNotes":null,')
-    wrapped = F.concat(F.lit("{"), extra, F.substring("body", 2, 100000000))
+    extra = F.when(odd, '"monitoring":{"site":{"airQuality":"good","noise":"1"}},"a":{"b":{"c":{"d":{"e":{"airDeep":1,"airNull":null}}}}},').otherwise('"airNotes":null,')
+    wrapped = F.concat(F.lit("{"), extra, F.substr("body", F.lit(2)))
     parts = prune_sections(reports.withColumn("body", wrapped), keys=["report_id"])
     return parts.select("report_id", "path", "status", F.col("value").isNotNull().alias("filled"))
 
@@ -85,7 +85,9 @@ r AS (SELECT DISTINCT e, t || '|' || e || '|' || y || '|' || per || '|' || rev A
 SELECT report_id, '/companyInfo' AS path, 'kept' AS status, true AS filled FROM r
 UNION ALL SELECT report_id, '/emissionInfo/airMainEmission', 'kept', true FROM r
 UNION ALL SELECT report_id, '/monitoring/site/airQuality', 'kept', true FROM r WHERE e % 2 = 1
-UNION ALL SELECT report_id, '/a/b/c/d', 'too_deep', false FROM r WHERE e % 2 = 1"""
+UNION ALL SELECT report_id, '/a/b/c/d/e/airDeep', 'kept', true FROM r WHERE e % 2 = 1
+UNION ALL SELECT report_id, '/a/b/c/d/e/airNull', 'kept', false FROM r WHERE e % 2 = 1
+UNION ALL SELECT report_id, '/airNotes', 'kept', false FROM r WHERE e % 2 = 0"""
 
 
 def q_extract_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
