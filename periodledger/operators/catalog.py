@@ -24,8 +24,9 @@ def html_text(html: Column) -> Column:
 
 
 def html_links(html: Column) -> Column:
-    """Targets of all links, in page order."""
-    return F.regexp_extract_all(html, F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""), 1)
+    """Targets of all links, in page order, quoted or not, with escaped ampersands decoded."""
+    written = F.regexp_extract_all(html, F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), 1)
+    return F.transform(written, lambda h: F.replace(F.regexp_replace(h, r"""^["']|["']$""", ""), F.lit("&amp;"), F.lit("&")))
 
 
 def _blocks(html: Column, tag: str) -> Column:
@@ -213,7 +214,8 @@ def discovery_ledger(catalog: DataFrame, placed: DataFrame, violations: DataFram
     """One row: page, duplicate, detail and selection counts with the completeness flags.
 
     ``catalog`` is the raw catalog, ``placed`` the deduplicated facilities with ``placement``
-    and ``detail_status``. ``pages_read`` caps the pages that were meant to be read (None: all).
+    and ``detail_status``. ``pages_read`` is how many pages were to be read (None: all); a catalog is complete if that
+    covers the server's count.
     """
     count_if = lambda c: F.count_if(c)
     pages = catalog.agg(F.max("total_pages").alias("server_pages"), F.count_distinct("page").alias("pages_fetched"),
@@ -227,7 +229,7 @@ def discovery_ledger(catalog: DataFrame, placed: DataFrame, violations: DataFram
     row = row.withColumns({
         "duplicate_rows": F.col("catalog_rows") - F.col("catalog_unique"),
         "catalog_pages_complete": (F.col("page_violations") == 0) & (
-            F.col("pages_fetched") == F.col("server_pages")) & F.lit(pages_read is None),
+            F.col("pages_fetched") == F.col("server_pages")) & (F.lit(True) if pages_read is None else F.col("server_pages") <= pages_read),
         "details_complete": F.col("details_inspected") == F.col("catalog_unique"),
         "selected_for_reports": F.when(F.lit(limit == 0), F.col("county_matches")).otherwise(
             F.least(F.col("county_matches"), F.lit(limit))),

@@ -35,14 +35,16 @@ def scan_report_folder(spark: SparkSession, folder: str) -> DataFrame:
 def attach_enterprises(reports: DataFrame, enterprises: DataFrame, key: str = "enterprise_id", salts: int = 1) -> DataFrame:
     """Add the ``enterprise`` map to reports; an unknown enterprise gives an empty record.
 
-    ``enterprises``: one row per ``key`` with plain string columns. Which side is broadcast is
+    ``enterprises``: ``key`` and plain string columns. Of several rows of one key the one with the smallest values, column
+    by column, is taken, so that reports are never multiplied; :func:`surplus_rows` lists such keys. Which side is broadcast is
     left to the optimizer, which knows the size. Otherwise reports of one hot enterprise are
     split by the adaptive skew join, or, with ``salts`` > 1, spread over that many partitions
     in advance: by a hash of the report id, so that a retried task puts them in the same place.
     """
     columns = [c for c in enterprises.columns if c != key]
-    packed = enterprises.select(key, F.create_map(
-        F.lit("enterprise_id"), F.col(key), *[x for c in columns for x in (F.lit(c), F.col(c).cast("string"))]).alias("enterprise"))
+    values = F.struct(*[F.col(c).cast("string").alias(c) for c in columns]) if columns else F.lit(None)
+    packed = enterprises.groupBy(key).agg(F.min(values).alias("_one")).select(key, F.create_map(
+        F.lit("enterprise_id"), F.col(key), *[x for c in columns for x in (F.lit(c), F.col("_one")[c])]).alias("enterprise"))
     if salts == 1:
         return reports.join(packed, key, "left")
     salted = reports.withColumn("_salt", F.pmod(F.xxhash64("report_id"), F.lit(salts)).cast("int"))
@@ -50,6 +52,11 @@ def attach_enterprises(reports: DataFrame, enterprises: DataFrame, key: str = "e
     return salted.join(copies, [key, "_salt"], "left").drop("_salt")
 
 
+def surplus_rows(df: DataFrame, key: str = "enterprise_id") -> DataFrame:
+    """Keys that have more than one row, with the number of rows beyond the first."""
+    return df.groupBy(key).agg((F.count(F.lit(1)) - 1).alias("surplus")).where("surplus > 0")
+
+
 def explode_index(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Index listings (``enterprise_id, index_year, listing`` JSON text) to entries and rejects.
 

@@ -82,6 +82,17 @@ def test_other_district_is_complete_discovery(spark):
     rows = catalog(spark, 1)
     ledger = discovery_ledger(rows, placed, audit_pages(rows), mode="region").first()
     assert (ledger.county_matches, ledger.details_inspected, ledger.discovery_complete, ledger.report_sample_limited) == (0, 1, True, False)
+    whole = [discovery_ledger(rows, placed, audit_pages(rows), mode="region", pages_read=n).first().catalog_pages_complete for n in (100, 1, 0)]
+    assert whole == [True, True, False]
+
+
+def test_links_as_html_writes_them(spark):
+    texts = ['/getxxgkContent.action?kind=1&amp;dataid=%032x', "/getxxgkContent.action?dataid=%032x"]
+    pages = [("escaped", page([1], link=texts[0])), ("unquoted", page([1], link=texts[1]).replace('"/get', "/get").replace('1">', "1>"))]
+    good, rejects = catalog_from_pages(spark.createDataFrame(pages, "page string, html string"))
+    assert {(r.page, r.enterprise_id, r.detail_url) for r in good.collect()} == {
+        ("escaped", "%032x" % 1, "/getxxgkContent.action?kind=1&dataid=%032x" % 1), ("unquoted", "%032x" % 1, texts[1] % 1)}
+    assert rejects.isEmpty()
 
 
 def test_coverage_of_nothing_is_not_success(spark):

@@ -10,7 +10,7 @@ from periodledger.operators.compare import compare_runs, difference_samples, mul
 from periodledger.operators.coverage import index_coverage
 from periodledger.operators.timeselect import select_time, with_report_period
 from periodledger.plans.run import collect_run, load_run, manifest_of, verify_folder
-from periodledger.sources.reports import attach_enterprises, scan_report_folder, with_url_identity
+from periodledger.sources.reports import attach_enterprises, scan_report_folder, surplus_rows, with_url_identity
 from periodledger.sources.sinks import ContractMismatch, contract_rows, guard_contract, ingest_new, write_csv, write_json
 from periodledger.streaming.ingest import ARRIVAL_SCHEMA, ReportStore, follow
 
@@ -133,3 +133,13 @@ def test_stream_appends_refreshes_and_reopens(spark, tmp_path):
     assert [r.reason for r in store.table("conflicts").collect()] == ["differs_from_store"] and store.reports().count() == 4
     store.refresh(store.add(spark.read.schema(ARRIVAL_SCHEMA).parquet(str(tmp_path / "in")), 99))  # a replay changes nothing
     assert store.reports().count() == 4
+
+
+@pytest.mark.parametrize("salts", [1, 4])
+def test_two_rows_of_an_enterprise_do_not_double_its_reports(spark, salts):
+    reports = spark.createDataFrame([("r1", "e1"), ("r2", "e1"), ("r3", "e9"), ("r4", None)], "report_id string, enterprise_id string")
+    enterprises = spark.createDataFrame([("e1", "B", "P2"), ("e1", "A", "P1"), ("e2", None, "P3")], "enterprise_id string, name string, permit_code string")
+    got = {r.report_id: r.enterprise for r in attach_enterprises(reports, enterprises, salts=salts).collect()}
+    one = {"enterprise_id": "e1", "name": "A", "permit_code": "P1"}
+    assert got == {"r1": one, "r2": one, "r3": None, "r4": None}
+    assert [tuple(r) for r in surplus_rows(enterprises).collect()] == [("e1", 1)]
