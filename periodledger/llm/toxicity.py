@@ -8,8 +8,8 @@ too, are scored by the n-grams they share with known ones.
 The gradient of a bucket's embedding is a multiple of the softmax weights, so training passes one number per bucket
 through the sparse layers (text to word, word to bucket), which is the same arithmetic as passing vectors.
 
-Training uses a bounded sample of labelled rows: the ``max_docs`` with the smallest id hash among those of at most
-``max_chars`` characters whose fold is not 0. Every text is scored whole. The model (one number per bucket) is broadcast.
+Training uses a bounded sample of labelled rows: the ``max_docs`` with the smallest id hash among those whose fold is
+not 0, less the texts of more than ``max_chars`` characters. Every text is scored whole. The model (one number per bucket) is broadcast.
 
 Defined results: a null or empty text gets the score of the bias alone; without labels of both kinds all scores are the
 share of label 1 (0 without any); rows with null labels are not learned from; a null id counts as the empty text in the
@@ -145,7 +145,7 @@ def train(texts: pa.Array, labels: np.ndarray, epochs: int = 60, rate: float = 0
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS) -> DataFrame:
-    """The bounded sample: text, toxic. Long texts and rows of fold 0 are left out before the bound applies."""
+    """The bounded sample: text, toxic. Rows of fold 0 are left out before the bound applies, long texts after it."""
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit(11))
     chosen = (labels.where((crc_fold(F.col("doc_id")) != 0) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(order, "doc_id").limit(max_docs))
