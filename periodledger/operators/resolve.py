@@ -26,7 +26,7 @@ from periodledger.operators.timeselect import TimeSelection, requested_rows, wit
 GROUP_KEY = ["enterprise_id", "permit_code", "pollutant_key", "scope", "outlet_key", "unit_key"]
 DESCRIPTION = ["enterprise_name", "pollutant_code", "pollutant_name", "outlet_code", "outlet_name", "dimension"]
 NO_OUTLET = "__group__"
-NATIVE_RULE = "Original reported total only; do not add to monthly totals or prorate."
+NATIVE_RULE = "The total as it was filed for its quarter or year; it stands beside the months."
 UNIDENTIFIED = "unidentified_report"
 
 _RANGES = ["value_id", "value", "row_id1", "row_id2"]

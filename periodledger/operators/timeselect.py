@@ -15,8 +15,7 @@ from periodledger.functions import periods as P
 from periodledger.functions.text import clean_text
 
 FIRST_YEAR, LAST_YEAR = 1900, 2099
-SUM_RULE = ("Sum only valid requested full-month values; keep reported quarter/year totals separate;"
-            " never prorate.")
+SUM_RULE = "A total adds the months asked for, each whole and resolved; longer filings take no part in it."
 
 
 @dataclass(frozen=True)

@@ -262,7 +262,7 @@ def q_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = coverage(
         mode="region", selection=QUARTER, enterprises=enterprises, indexes=index_coverage(enterprises, index, QUARTER), manifest=manifest,
         records=records, summary=summarize_period(records, QUARTER), native=summarize_native(partition_kinds(records)[1], QUARTER))
-    return row.withColumn("requested_periods", F.array_join("requested_periods", ",")).drop("caveats")
+    return row.withColumn("requested_periods", F.array_join("requested_periods", ","))
 
 
 def _coverage_sql() -> str:
