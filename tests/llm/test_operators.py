@@ -291,6 +291,76 @@ def test_language_model(docs, rows):
     assert np.allclose((10**model.transition).sum(1), 1)
 
 
+def likelihood(table):
+    def f(x):
+        return float((x * np.log(np.maximum(x, 1))).sum())
+
+    return f(table) - f(table.sum(0)) - f(table.sum(1))
+
+
+def test_words_move_to_the_best_class():
+    # Of random word bigrams, one word at a time against all its places.
+    rng = np.random.default_rng(11)
+    n, end = 60, classlm.CLASSES - 1
+    pairs = rng.integers(0, 4, (n, n)) * rng.integers(0, 2, (n, n))
+    group = rng.integers(0, end, n)
+    group[-1] = end
+
+    def table(group):
+        one = np.eye(classlm.CLASSES)[group]
+        return one.T @ pairs @ one
+
+    for w in range(n - 1):
+        own = np.zeros((1, classlm.CELLS))
+        for x in range(n):
+            if x != w:
+                own[0, group[x]] += pairs[x, w]
+                own[0, classlm.CLASSES + group[x]] += pairs[w, x]
+        own[0, classlm.ITSELF] = pairs[w, w]
+        found = classlm.best_classes(table(group), group[[w]], own)[0]
+        reached = {c: likelihood(table(np.where(np.arange(n) == w, c, group))) for c in range(end) if c in group}
+        assert reached[found] == pytest.approx(max(reached.values()), abs=1e-6)
+
+
+@pytest.mark.parametrize("head", [0, 100])
+def test_rare_words_get_classes_of_their_own(spark, head):
+    # Nouns and verbs end alike, so suffixes cannot tell them apart; the items hold 30 of 200 of each.
+    rng = np.random.default_rng(3)
+    nouns, verbs = ([f"{kind}{i}xx" for i in range(200)] for kind in "nv")
+    often = np.repeat([5, 1], [30, 170]) / 320
+    drawn = rng.choice(200, (400, 20, 2), p=often)
+    texts = [(i, " ".join(x for a, b in drawn[i] for x in ("the", nouns[a], "will", verbs[b]))) for i in range(400)]
+    made = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    model, others = classlm.fit(made, items=62, head=head)
+    groups = dict(zip(model.classes.hashes.view(np.int64).tolist(), model.classes.head.tolist())) | {r.word: r["class"] for r in others.collect()}
+    data, offsets = buffers(pa.array([" ".join(nouns + verbs + ["the", "will"])]))
+    hashes = words(data, offsets, 0, 1).hashes.view(np.int64).tolist()
+    assert len(groups) == 402 and set(hashes) == set(groups)
+    of_nouns, of_verbs = {groups[h] for h in hashes[:200]}, {groups[h] for h in hashes[200:400]}
+    assert not of_nouns & of_verbs
+    # Scores against the model spelled out.
+    count = collections.Counter(w for i, t in texts if fold(i) != 1 for w in t.split())
+    group = {w: groups[h] for w, h in zip(nouns + verbs + ["the", "will"], hashes)}
+    end = classlm.CLASSES - 1
+    table, tokens, kinds = np.zeros((end + 1, end + 1)), collections.Counter(), collections.Counter()
+    for i, t in texts:
+        if fold(i) != 1:
+            row = [end, *[group[w] for w in t.split()], end]
+            np.add.at(table, (row[:-1], row[1:]), 1)
+    for w, n in count.items():
+        tokens[group[w]] += n
+        kinds[group[w]] += 1
+    text = dict(texts)
+    for source in (made, made.select("*")):
+        for r in classlm.score(source, model, others).collect():
+            row, wanted = [end, *[group[w] for w in text[r.doc_id].split()], end], 0.0
+            for a, b in zip(row, row[1:]):
+                wanted += math.log10((table[a, b] + 0.5) / (table[a].sum() + 0.5 * (end + 1)))
+            for w in text[r.doc_id].split():
+                wanted += math.log10((count[w] + 0.5) / (tokens[group[w]] + 0.5 * (kinds[group[w]] + 1)))
+            assert r.score == pytest.approx(wanted)
+
+
 def test_exchange_raises_likelihood():
     table = np.zeros((9, 9))
     table[np.ix_([0, 2, 4, 6], [1, 3, 5, 7])] = 5
