@@ -158,6 +158,15 @@ def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sizes), pa.array(keys.view(np.int64), mask=sizes == 0)], names=["doc_id", "n_shingles", "key"])
 
 
+def _sized_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As ``_sized``, with the hash of the text."""
+    for batch in batches:
+        at = 0
+        for found in _sized([pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["doc_id", "text"])]):
+            yield pa.RecordBatch.from_arrays([found.column(0), batch.column(2).slice(at, len(found)), found.column(1), found.column(2)], names=["doc_id", "_text", "n_shingles", "key"])
+            at += len(found)
+
+
 def _new_sets(keys: np.ndarray, wanted: np.ndarray, seen: set[int]) -> np.ndarray:
     """Which of the wanted sets this task has not met before."""
     new = []
@@ -438,23 +447,39 @@ def sized(docs: DataFrame) -> DataFrame:
     return materialize(docs.select("doc_id", "text").mapInArrow(_sized, f"doc_id {kind}, n_shingles long, key long"), "jaccard-sized")
 
 
-def classes_of(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id of its class)."""
-    known = sized(docs)
+def _placed(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows of ``known`` with the class of each set (null if empty)."""
     classes = linked_classes(docs, known)
     placed = known.withColumn("class", F.col("key")) if classes is None else known.join(classes, "key", "left").withColumn("class", F.coalesce("class", "key"))
-    placed = materialize(placed.select("doc_id", "n_shingles", "class"), "jaccard-placed")
+    return materialize(placed.select(*known.columns, "class"), "jaccard-placed")
+
+
+def classes_of(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id of its class)."""
+    placed = _placed(docs, sized(docs)).select("doc_id", "n_shingles", "class")
     smallest = placed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("smallest"))
     return placed.join(smallest, "class", "left").select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"))
 
 
+def _text_hash() -> Column:
+    return F.xxhash64("text")
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents of which no linked one has a smaller doc_id; of rows with equal doc_id in one class, one stays.
-    Documents without words all stay."""
-    found = materialize(classes_of(docs), "jaccard-found")
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.max("n_shingles").alias("_n"))
-    names = docs.columns
-    keyed = docs.withColumn("_id", F.xxhash64("doc_id"))
-    kept = keyed.join(keep.select(F.xxhash64("doc_id").alias("_id"), "_n"), "_id")
-    nth = F.row_number().over(Window.partitionBy("_id").orderBy(F.lit(1)))
-    return kept.withColumn("_nth", nth).where((F.col("_nth") == 1) | (F.col("_n") == 0)).select(*names)
+    """One row of each class of linked documents: that of the smallest doc_id (null only where the class has no other), of
+    equal ids the text of the smallest hash, of equal rows any one. Rows without words all stay."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    # Rows with equal id and text are alike here; rows that are not stay apart, also where the ids are equal or null.
+    alike = (F.col("doc_id"), F.col("_text"))
+    texts = docs.select("doc_id", "text", _text_hash().alias("_text"))
+    known = materialize(texts.mapInArrow(_sized_texts, f"doc_id {kind}, _text long, n_shingles long, key long"), "jaccard-sized")
+    placed = _placed(docs, known)
+    first = placed.where("class is not null").groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), *alike)).alias("first"))
+    chosen = first.select(F.xxhash64("first.doc_id").alias("_id"), F.col("first._text").alias("_text"), F.lit(1).alias("_worded"))
+    wordless = placed.where("class is null").select(F.xxhash64("doc_id").alias("_id"), "_text", F.lit(0).alias("_worded")).distinct()
+    keyed = docs.withColumn("_id", F.xxhash64("doc_id")).withColumn("_text", _text_hash())
+    kept = keyed.join(materialize(chosen.union(wordless), "jaccard-kept"), ["_id", "_text"])
+    # Rows equal in both may differ in other columns: the least one stays, whatever order they come in.
+    order = [F.col(c) for c, t in docs.dtypes if "map<" not in t]
+    nth = F.row_number().over(Window.partitionBy("_id", "_text").orderBy(*order))
+    return kept.withColumn("_nth", nth).where((F.col("_nth") == 1) | (F.col("_worded") == 0)).select(*docs.columns)

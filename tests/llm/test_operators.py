@@ -174,6 +174,21 @@ def test_jaccard(spark, docs, rows):
     assert jaccard.classes_of(docs.limit(0)).count() == 0
 
 
+def test_one_of_each_class_stays(spark):
+    # Null and repeated ids with texts that differ: each class keeps one row, and wordless rows all stay.
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(60))
+
+    rows = [(None, text("a")), (None, text("b")), (None, text("b") + " tail"), (None, text("c")), (4, text("c")), (None, ""), (None, None), (None, " "), (None, ""),
+            (1, text("d")), (2, text("d") + " more"), (2, text("e")), (2, text("e")), (2, text("f")), (3, text("f")), (3, text("g")), (3, ""), (3, text("d"))]
+    made = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    for way in (made, made.repartition(3, "text")):
+        got = collections.Counter((r.doc_id, r.text) for r in jaccard.one_of_each(way).collect())
+        either = [x for x in ((None, text("b")), (None, text("b") + " tail")) if got.pop(x, 0)]
+        assert len(either) == 1
+        assert got == collections.Counter([(None, text("a")), (4, text("c")), (None, ""), (None, None), (None, " "), (None, ""), (1, text("d")), (2, text("e")), (2, text("f")), (3, text("g")), (3, "")])
+
+
 def test_sparse_sets_are_signed():
     # All shingles in one range: the finer partition and, where that is filled by one range too, the band's own signature.
     base = np.arange(40, dtype=np.uint64)
