@@ -4,9 +4,9 @@ The ratio compares two multinomials over hashed unigrams and bigrams: one of tru
 A text's score is the mean of log(p_trusted / p_corpus) over its n-grams, so length does not matter, and every text is
 kept or not by one threshold. Only built-in functions are used.
 
-The corpus counts cover every n-gram of every text; trusted texts are a bounded sample of rows labelled good (the
-``max_trusted`` with the smallest id hash), as their ids are broadcast. Counting combines on the map side: a task sends
-at most ``buckets`` rows. The table of ratios has ``buckets`` entries and becomes a constant of the plan.
+The corpus counts cover every n-gram of every text, the trusted counts those of every text labelled good. Labels are
+joined by id with rows that hold a text's n-grams as small numbers, not the text; rows without an id have no label and stay
+out of the join. Counting combines on the map side: a task sends at most ``buckets`` rows. The table of ratios has ``buckets`` entries and becomes a constant of the plan.
 
 Repeated 3-word windows are found inside the row: window hashes are sorted with their places, equal neighbours are
 repeated, and their places cover words. No row leaves its task.
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from .common import BLANKS, fresh, words_of
 
 BUCKETS = 10_000
-MAX_TRUSTED = 20_000
 THRESHOLD = -0.06
 SYMBOLS = "#*$%&|<>"
 ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "ratio", "kept")
@@ -47,17 +46,19 @@ def _ngram_buckets(hashes: Column, buckets: int) -> Column:
     return F.concat(single, pairs)
 
 
-def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFrame:
-    return (labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-            .orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)), "doc_id").limit(max_trusted))
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    return labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
-def bucket_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED) -> list[float]:
+def bucket_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """log(p_trusted / p_corpus) of each bucket, both with one added to each count."""
-    trusted = trusted_ids(labels, max_trusted).withColumn("_trusted", F.lit(1))
-    rows = docs.select("doc_id", "text").join(F.broadcast(trusted), "doc_id", "left")  # at most max_trusted ids
-    hashed = rows.select(F.coalesce("_trusted", F.lit(0)).alias("trusted"), _word_hashes(words_of(F.col("text"))).alias("hashes"))
-    grams = hashed.select("trusted", F.explode(_ngram_buckets(F.col("hashes"), buckets)).alias("bucket"))
+    kind = "array<smallint>" if buckets <= 1 << 15 else "array<int>"
+    hashed = docs.select("doc_id", _word_hashes(words_of(F.col("text"))).alias("hashes"))
+    rows = hashed.select("doc_id", _ngram_buckets(F.col("hashes"), buckets).cast(kind).alias("grams"))
+    trusted = trusted_ids(labels).withColumn("trusted", F.lit(1))
+    joined = rows.where("doc_id is not null").join(trusted, "doc_id", "left").select(F.coalesce("trusted", F.lit(0)).alias("trusted"), "grams")
+    both = joined.union(rows.where("doc_id is null").select(F.lit(0).alias("trusted"), "grams"))
+    grams = both.select("trusted", F.explode("grams").alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("corpus"), F.sum("trusted").alias("trusted")).collect()  # at most `buckets` rows
     corpus, good = [1.0] * buckets, [1.0] * buckets
     for row in counts:

@@ -137,6 +137,16 @@ def test_quality(spark, docs):
         assert not (r.kept and failed)
 
 
+def test_all_trusted_rows_count(spark):
+    # All rows are alike and labelled good, so both multinomials are one; a null id has no label.
+    same = spark.range(20_050).select(F.col("id").alias("doc_id"), F.lit("one two").alias("text"))
+    labels = same.select("doc_id", F.lit(1).alias("quality"))
+    assert quality.bucket_ratios(same, labels.union(labels)) == pytest.approx([0.0] * quality.BUCKETS, abs=1e-12)
+    more = same.limit(3).union(spark.createDataFrame([(None, "three")], "doc_id long, text string"))
+    ratios = quality.bucket_ratios(more, labels.union(spark.createDataFrame([(None, 1)], "doc_id long, quality int")))
+    assert sorted(set(round(r - min(ratios), 9) for r in ratios)) == [0.0, round(math.log(2), 9)] and ratios.count(min(ratios)) == 1
+
+
 def classes_by_brute_force(rows):
     sets, up = {}, {}
     for i, t, _ in rows:
