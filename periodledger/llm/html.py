@@ -4,7 +4,9 @@ A tree builder reads tags in order and closes what HTML lets authors leave open
 table rows and cells, options, description terms). Rendering walks the tree: hidden elements are left out (by element, the
 hidden attribute or inline style), blank runs collapse outside of pre-formatted text, blocks begin on new lines, paragraphs
 and headings stand between empty lines, list items are indented and marked or numbered, and table cells are padded to
-columns. Nothing is judged boilerplate: all visible text is kept.
+columns. Nothing is judged boilerplate: all visible text is kept, also the options of a form, formulas of MathML and the labels
+of a drawing (options and labels on lines of their own). What an attribute shows (alternative texts, values, labels of option
+groups) is not text of the page here.
 
 Tree and walk use lists, not recursion, so depth is not limited.
 
@@ -26,18 +28,19 @@ from .common import add_in_arrow
 # Element names of HTML by their part in layout.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist object audio video canvas svg math select option".split())
+UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist object audio video canvas desc metadata defs annotation annotation-xml".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure".split())
-BLOCK = SPACED | frozenset("html body div section article main header footer nav aside address form fieldset legend li dt dd figcaption details summary hr center tr caption dir menu search".split())
-ENDS_P = BLOCK - {"html", "body", "li", "dt", "dd", "tr", "caption", "legend", "summary"}
+BLOCK = SPACED | frozenset("html body div section article main header footer nav aside address form fieldset legend li dt dd figcaption details summary hr center tr caption dir menu search option optgroup text".split())
+ENDS_P = BLOCK - {"html", "body", "li", "dt", "dd", "tr", "caption", "legend", "summary", "option", "optgroup", "text"}
 # Which open elements a start tag ends, and the elements beyond which it does not look.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th", "caption", "colgroup"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}),
-    "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, set()),
+    "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}), "option": ({"option"}, {"select"}), "optgroup": ({"option", "optgroup"}, {"select"}), "body": ({"head"}, set()),
 }
 CLOSES["thead"] = CLOSES["tfoot"] = CLOSES["tbody"]
 LIMITS = frozenset("table td th caption button object template".split())  # an open p is not looked for beyond these
+FOREIGN = frozenset("svg math".split())
 HEAD_ONLY = frozenset("title meta link base style script noscript template".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
@@ -47,10 +50,12 @@ _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("name", "attributes", "children", "up")
+    __slots__ = ("name", "attributes", "children", "up", "foreign")
 
     def __init__(self, name: str, attributes: str = "", up: Node | None = None):
         self.name, self.attributes, self.children, self.up = name, attributes, [], up
+        # In SVG and MathML a slash closes an element.
+        self.foreign = name in FOREIGN or up is not None and up.foreign and name != "foreignobject"
 
     def attribute(self, wanted: str) -> str | None:
         for name, value in _ATTRIBUTE.findall(self.attributes):
@@ -117,11 +122,13 @@ def parse(html: str) -> Node:
             here = close(*CLOSES[name])
         node = Node(name, token.group(3), here)
         here.children.append(node)
+        if node.foreign and token.group(3).endswith("/"):
+            continue
         if name in RAW:
             stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
             node.children.append(html[at:stop.start() if stop else end])
             at = stop.end() if stop else end
-        elif name not in VOID and not (token.group(3).endswith("/") and name in ("path", "use")):
+        elif name not in VOID:
             here = node
     return root
 

@@ -402,3 +402,10 @@ def test_html(spark):
     assert (items, cells) == (4, 4)
     pages = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (3, "<b" * 5, "z"), (4, "<div>" * 20_000 + "deep", "u")], "page_id long, html string, text string")
     assert {r.page_id: r.text for r in html.extract(pages).collect()} == {1: "", 2: "", 3: "", 4: "deep"}
+
+
+def test_html_forms_formulas_and_drawings(spark):
+    page = ("<p>Pick <select><optgroup label=g><option>Red<option selected>Blue</select> now<p><math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math>"
+            "<svg><title/><desc>no</desc><metadata>no</metadata><circle r=1 /><text>left</text><g/><text>right</text><title>no</title><style>no</style></svg>tail<datalist><option>no</datalist>")
+    text, _, _ = html.render(html.parse(page))
+    assert text.split("\n") == ["Pick", "Red", "Blue", "now", "", "x=2", "left", "right", "tail"]
