@@ -101,9 +101,9 @@ def _two_runs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], d
     """A run and an independent second one that differs in known places."""
     left = materialize(fixtures.records(spark, sf_dir), "records").withColumn("access_utc", F.lit("first"))
     e = _number()
-    right = left.where(~((F.col("pollutant_code") == "A21026") & (e % 17 == 4))).withColumns({
-        "value_raw": F.when((e % 13 == 3) & (F.col("month") == 5), F.concat("value_raw", F.lit("!"))).otherwise(F.col("value_raw")),
-        "_n": F.explode(F.when((e % 19 == 6) & (F.col("field") == "total"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))),
+    right = left.where(~((F.col("pollutant_code") == "A21026") & (e % 17 == 0))).withColumns({
+        "value_raw": F.when((e % 13 == 1) & (F.col("month") == 5), F.concat("value_raw", F.lit("!"))).otherwise(F.col("value_raw")),
+        "_n": F.explode(F.when((e % 19 == 1) & (F.col("field") == "total"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))),
         "access_utc": F.lit("second")}).drop("_n")
 
     def manifest(changed: bool) -> DataFrame:
@@ -126,7 +126,7 @@ def q_run_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 COMPARE = "WITH " + oracles.RECORDS + """,
 flags AS (
-  SELECT *, p = 1 AND e % 17 = 4 AS dropped, e % 13 = 3 AND coalesce(month = 5, false) AS changed, e % 19 = 6 AND field = 'total' AS doubled FROM records),
+  SELECT *, p = 1 AND e % 17 = 0 AS dropped, e % 13 = 1 AND coalesce(month = 5, false) AS changed, e % 19 = 1 AND field = 'total' AS doubled FROM records),
 reps AS (SELECT DISTINCT e, report_id FROM records WHERE e % 5 <> 1),
 n AS (
   SELECT count(*) AS l, count(*) FILTER (NOT dropped) + count(*) FILTER (NOT dropped AND doubled) AS r,

@@ -135,7 +135,7 @@ def _identities(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     listed = K.dedupe_catalog(_catalog(spark, sf_dir))
     c = F.col("c_custkey")
     asked = fixtures.table(spark, sf_dir, "customer").select(
-        c.alias("request_id"), F.when(c % 3 != 0, F.concat(F.lit("Plant "), text(c % 2000))).alias("name"),
+        c.alias("request_id"), F.when(c % 3 != 0, F.concat(F.lit("Plant "), text((c - 1) % 2000))).alias("name"),
         F.when(c % 3 == 0, F.concat(F.lit("P"), text(c % 2000))).alias("permit"))
     return asked, listed
 
@@ -148,7 +148,7 @@ def q_company_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
 IDENTITY = "WITH " + CATALOG + """,
 uniq AS (SELECT DISTINCT permit_code, enterprise_id, name FROM cat),
 ask AS (
-  SELECT c_custkey AS request_id, CASE WHEN c_custkey % 3 <> 0 THEN 'Plant ' || (c_custkey % 2000) END AS name,
+  SELECT c_custkey AS request_id, CASE WHEN c_custkey % 3 <> 0 THEN 'Plant ' || ((c_custkey - 1) % 2000) END AS name,
          CASE WHEN c_custkey % 3 = 0 THEN 'P' || (c_custkey % 2000) END AS permit FROM customer),
 hit AS (
   SELECT a.request_id, a.name, a.permit, count(u.permit_code) AS matches, min(u.permit_code) AS permit_code, min(u.enterprise_id) AS enterprise_id
