@@ -19,6 +19,7 @@ line that another document holds; input columns named like a result column are r
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -217,14 +218,15 @@ def _rebuilt(column: pa.Array, data, offsets, cuts: list) -> tuple[pa.Array, pa.
     return pa.array(kept, pa.binary()).cast(pa.string()), pa.array(lines), pa.array(gone)
 
 
-_open: dict[int, dict[int, Shard]] = {}
+_open: dict[str, dict[int, Shard]] = {}
 
 
 def _shards(shared) -> dict[int, Shard]:
-    if id(shared.value) not in _open:
+    name, rows = shared.value
+    if name not in _open:
         _open.clear()
-        _open[id(shared.value)] = {number: Shard(*parts) for number, *parts in shared.value}
-    return _open[id(shared.value)]
+        _open[name] = {number: Shard(*parts) for number, *parts in rows}
+    return _open[name]
 
 
 def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, shard: int = SHARD, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
@@ -234,7 +236,7 @@ def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, shard: int = SHARD, ma
     size = index.agg(F.sum(F.octet_length("bits") + F.octet_length("prints") + F.octet_length("counts") + F.octet_length("keepers"))).first()[0] or 0
     if size <= max_broadcast:
         rows = [tuple(r) for r in index.collect()]  # at most max_broadcast bytes
-        shared = docs.sparkSession.sparkContext.broadcast(rows)
+        shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, rows))
         return _probe_here(docs, shared, count)
     return _probe_by_shard(docs, index, count)
 

@@ -58,8 +58,9 @@ def bucket_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) ->
     trusted = trusted_ids(labels).withColumn("trusted", F.lit(1))
     joined = rows.where("doc_id is not null").join(trusted, "doc_id", "left").select(F.coalesce("trusted", F.lit(0)).alias("trusted"), "grams")
     both = joined.union(rows.where("doc_id is null").select(F.lit(0).alias("trusted"), "grams"))
-    grams = both.select("trusted", F.explode("grams").alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("corpus"), F.sum("trusted").alias("trusted")).collect()  # at most `buckets` rows
+    # An inner explode would make the optimizer infer a filter on the size of the list and copy its whole derivation into the scan.
+    grams = both.select("trusted", F.explode_outer("grams").alias("bucket"))
+    counts = grams.where("bucket is not null").groupBy("bucket").agg(F.count("*").alias("corpus"), F.sum("trusted").alias("trusted")).collect()  # at most `buckets` rows
     corpus, good = [1.0] * buckets, [1.0] * buckets
     for row in counts:
         corpus[row["bucket"]] += row["corpus"]

@@ -4,11 +4,13 @@ import collections
 import hashlib
 import math
 import re
+import time
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from oracle_compare import compare, connect
 from pyspark.sql import functions as F
 
@@ -137,6 +139,44 @@ def test_quality(spark, docs):
         assert not (r.kept and failed)
 
 
+def spark_hash(*values):
+    """The 64-bit hash of texts or longs, each seeded with the one before."""
+    seed = 42
+    for v in values:
+        data = v.encode() if isinstance(v, str) else (v & (1 << 64) - 1).to_bytes(8, "little")
+        seed = xxhash.xxh64_intdigest(data, seed=seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def test_quality_ratios(spark, docs, rows):
+    """Ratios and verdicts spelled out: mean log ratio of the smoothed multinomials over unigrams and bigrams."""
+    labels = spark.read.parquet(f"{DIR}/labels.parquet")
+    good = {r.doc_id for r in labels.where("quality = 1").collect()}
+    hashed = {t: [spark_hash(w) for w in WORD.findall(t)] for t in {t for _, t, _ in rows}}
+    grams = {t: [x % quality.BUCKETS for x in h] + [spark_hash(a, b) % quality.BUCKETS for a, b in zip(h, h[1:])] for t, h in hashed.items()}
+    corpus, trusted = np.ones(quality.BUCKETS), np.ones(quality.BUCKETS)
+    for i, t, _ in rows:
+        np.add.at(corpus, grams[t], 1)
+        if i in good:
+            np.add.at(trusted, grams[t], 1)
+    wanted = np.log(trusted / trusted.sum()) - np.log(corpus / corpus.sum())
+    ratios = quality.bucket_ratios(docs, labels)
+    assert np.allclose(ratios, wanted)
+    for r in quality.judge(docs, ratios).collect():
+        ratio = float(np.mean(wanted[grams[r.text or ""]])) if grams[r.text or ""] else 0.0
+        assert r.ratio == pytest.approx(ratio, abs=1e-9) and r.kept == (not r.base_failed and r.ratio >= quality.THRESHOLD)
+
+
+def test_quality_of_a_long_text(spark):
+    # 20,000 words in one row: counting and judging take time in proportion to the text.
+    made = spark.createDataFrame([(1, " ".join(f"w{i % 700}" for i in range(20_000))), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    begin = time.monotonic()
+    one = quality.judge(made, quality.bucket_ratios(made, labels)).where("doc_id = 1").first()
+    assert (one.n_words, one.n_repeat_words) == (20_000, 20_000) and time.monotonic() - begin < 60
+    assert quality.judge(made.limit(0), quality.bucket_ratios(made.limit(0), labels)).count() == 0
+
+
 def test_all_trusted_rows_count(spark):
     # All rows are alike and labelled good, so both multinomials are one; a null id has no label.
     same = spark.range(20_050).select(F.col("id").alias("doc_id"), F.lit("one two").alias("text"))
