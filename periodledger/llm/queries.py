@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, classlm, html, jaccard, licenses, linededup, mixing, quality, sketch, toxicity
+from . import bpe, classlm, html, jaccard, licenses, linededup, mixing, pieces, quality, sketch, toxicity, trie, whitening
 from .common import crc_fold, table
 
 
@@ -60,7 +60,21 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages")).drop("html")
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_bpe, op3_toxicity, op4_quality, op5_ngram_jaccard, op6_fingerprints, op7_line_dedup, op8_licenses, op9_class_lm, op10_html)}
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids"))
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), _sha("decoded").alias("decoded_sha256"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(table(spark, sf_dir, "embeddings"))
+
+
+LLM_QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_bpe, op3_toxicity, op4_quality, op5_ngram_jaccard, op6_fingerprints, op7_line_dedup, op8_licenses, op9_class_lm, op10_html,
+                                       op11_sentencepiece, op12_prefix_trie, op13_whitening)}
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -102,4 +116,31 @@ reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach AS r JOIN
 SELECT s.doc_id, len(grams)::BIGINT AS n_shingles, least(s.doc_id, coalesce(min(r.b), s.doc_id)) AS component_id
 FROM s LEFT JOIN reach AS r ON r.a = s.doc_id GROUP BY s.doc_id, grams"""
 
-LLM_ORACLES = {"op1_mix_sources": _MIX_SQL, "op5_ngram_jaccard": _JACCARD_SQL, "op7_line_dedup": _LINES_SQL}
+# The first step of CRC-32 for each byte, from its polynomial.
+_CRC_STEP = "CASE WHEN {c} & 1 = 1 THEN xor({c} >> 1, 3988292384) ELSE {c} >> 1 END"
+
+
+def _crc_table() -> str:
+    steps = ", ".join(f"s{i} AS (SELECT b, {_CRC_STEP.format(c='c')} AS c FROM s{i - 1})" for i in range(1, 9))
+    return f"s0 AS (SELECT b, b AS c FROM range(256) AS r(b)), {steps}, crc AS (SELECT list(c ORDER BY b) AS step FROM s8)"
+
+
+_TRIE_SQL = rf"""
+WITH {_crc_table()},
+t AS (SELECT conv_id, turn, octet_length(encode(coalesce(text, ''))) AS size, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, '')) AS key
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key) AS pos FROM t),
+i AS (SELECT DISTINCT conv_id, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT) AS digits FROM t),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS head, xor(list_reduce(digits, lambda acc, b: xor(acc >> 8, step[(xor(acc, b) & 255) + 1]), 4294967295), 4294967295) % 9 AS h FROM i, crc),
+r AS (SELECT c.conv_id, pos, key, size FROM c JOIN n ON n.conv_id = c.head AND pos <= h UNION ALL SELECT c.conv_id, pos, key, size FROM c JOIN n ON n.conv_id = c.conv_id AND pos > h),
+s AS (SELECT conv_id, row_number() OVER w AS depth, size, string_agg(key, '') OVER w AS path FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+p AS (SELECT * FROM s UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+ends AS (SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256 FROM (SELECT conv_id, arg_max(path, depth) AS path FROM p GROUP BY conv_id) GROUP BY path),
+node AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size FROM p GROUP BY path, depth),
+kids AS (SELECT left(path, 32 * (depth - 1)::INT) AS path, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+below AS (SELECT left(path, 32 * k::INT) AS path, sum(leaf)::BIGINT AS n_leaves, sum((n_convs - 1) * size)::BIGINT AS saved_tokens
+  FROM (SELECT node.*, CASE WHEN kids.path IS NULL THEN 1 ELSE 0 END AS leaf, unnest(range(0, depth + 1)) AS k FROM node LEFT JOIN kids USING (path)) GROUP BY 1)
+SELECT node.conv_id, node.depth, up.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM node JOIN below USING (path) LEFT JOIN kids USING (path) LEFT JOIN ends USING (path) LEFT JOIN node AS up ON node.depth > 0 AND up.path = left(node.path, 32 * (node.depth - 1)::INT)"""
+
+LLM_ORACLES = {"op12_prefix_trie": _TRIE_SQL, "op1_mix_sources": _MIX_SQL, "op5_ngram_jaccard": _JACCARD_SQL, "op7_line_dedup": _LINES_SQL}
