@@ -9,7 +9,8 @@ The gradient of a bucket's embedding is a multiple of the softmax weights, so tr
 through the sparse layers (text to word, word to bucket), which is the same arithmetic as passing vectors.
 
 Training uses a bounded sample of labelled rows: the ``max_docs`` with the smallest id hash among those whose fold is
-not 0, less the texts of more than ``max_chars`` characters. Every text is scored whole. The model (one number per bucket) is broadcast.
+not 0, less the texts of more than ``max_chars`` characters, and of these rows, equal ones once, the first ``max_docs`` in the
+order of that hash and as many as ``max_bytes`` bytes hold. Every text is scored whole. The model (one number per bucket) is broadcast.
 
 Defined results: a null or empty text gets the score of the bias alone; without labels of both kinds all scores are the
 share of label 1 (0 without any); rows with null labels are not learned from; a null id counts as the empty text in the
@@ -31,6 +32,7 @@ from .words import buffers, mix, ranges, spans, words
 
 MAX_DOCS = 10_000
 MAX_CHARS = 40_000
+MAX_BYTES = 32_000_000
 BUCKETS = 1 << 17
 WIDTH = 8
 SLICE = 50_000
@@ -69,11 +71,17 @@ def subwords(letters: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def shares(docs: np.ndarray, words_: np.ndarray, kinds: int, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each text and word: the word's part in the text's average. A word weighs the root of its repeats, so that
-    a text of few repeated words is not judged by them alone; PRIOR words without a voice steady very short texts."""
+    """For each text and word: the word's part in the text's average."""
     pair, times = np.unique(docs * kinds + words_, return_counts=True)
-    doc, word, weight = pair // kinds, pair % kinds, np.sqrt(times)
-    return doc, word, SCALE * weight / (np.bincount(doc, weight, count) + PRIOR)[doc]
+    doc = pair // kinds
+    return doc, pair % kinds, parts(doc, times, count)
+
+
+def parts(doc: np.ndarray, times: np.ndarray, count: int) -> np.ndarray:
+    """A word weighs the root of its repeats, so that a text of few repeated words is not judged by them alone; PRIOR
+    words without a voice steady very short texts."""
+    weight = np.sqrt(times)
+    return SCALE * weight / (np.bincount(doc, weight, count) + PRIOR)[doc]
 
 
 @dataclass
@@ -108,16 +116,21 @@ def train(texts: pa.Array, labels: np.ndarray, epochs: int = 60, rate: float = 0
     if share in (0.0, 1.0):
         return Model(np.zeros(BUCKETS), 700.0 if share else -700.0)
     data, offsets = buffers(texts)
-    hashes, docs, at, to = [], [], [], []
+    # Run by run only distinct words of a text are kept, with their number.
+    hashes, docs, times, kinds_, at, to = [], [], [], [], [], []
     for lo, hi in ranges(offsets):
         w = words(data, offsets, lo, hi)
-        for out, x in ((hashes, w.hashes), (docs, w.text + lo), (at, w.start), (to, w.stop)):
+        own, first, word = np.unique(w.hashes, return_index=True, return_inverse=True)
+        pair, count = np.unique(w.text * max(len(own), 1) + word, return_counts=True)
+        for out, x in ((hashes, own[pair % max(len(own), 1)]), (docs, (pair // max(len(own), 1) + lo).astype(np.int32)), (times, count.astype(np.int32)),
+                       (kinds_, own), (at, w.start[first]), (to, w.stop[first])):
             out.append(x)
-    hashes, docs, at, to = (np.concatenate(x) for x in (hashes, docs, at, to))
-    _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
-    kinds, at, to = len(first), at[first], to[first]
-    doc, word, part = shares(docs, word, kinds, len(labels))
-    del hashes, docs, first
+    kinds_, at, to = (np.concatenate(x) for x in (kinds_, at, to))
+    kinds_, first = np.unique(kinds_, return_index=True)
+    kinds, at, to = len(kinds_), at[first], to[first]
+    doc, word = np.concatenate(docs), np.searchsorted(kinds_, np.concatenate(hashes)).astype(np.int32)
+    part = parts(doc, np.concatenate(times), len(labels))
+    del hashes, docs, times, kinds_, first
     # Buckets of SLICE words at a time, so that no step makes wide copies of all of them.
     slices = [(i, min(i + SLICE, kinds), *subwords(*spans(data, at[i:i + SLICE], to[i:i + SLICE]))) for i in range(0, max(kinds, 1), SLICE)]
     per_word = np.maximum(np.concatenate([np.bincount(owner, minlength=hi - lo) for lo, hi, _, owner in slices]), 1)
@@ -144,17 +157,32 @@ def train(texts: pa.Array, labels: np.ndarray, epochs: int = 60, rate: float = 0
     return Model((embed @ (softmax[:, 1] - softmax[:, 0])).astype(np.float64), float(bias[1] - bias[0]))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS) -> DataFrame:
-    """The bounded sample: text, toxic. Rows of fold 0 are left out before the bound applies, long texts after it."""
-    order = F.xxhash64(F.col("doc_id").cast("string"), F.lit(11))
+def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """The bounded sample: doc_id, text, toxic. At most ``max_docs`` distinct rows and ``max_bytes`` bytes of text after the join, whatever ids repeat."""
+    order, text = F.xxhash64(F.col("doc_id").cast("string"), F.lit(11)), F.xxhash64("text")
     chosen = (labels.where((crc_fold(F.col("doc_id")) != 0) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(order, "doc_id").limit(max_docs))
     texts = docs.select("doc_id", "text").where(F.length("text") <= max_chars)
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")  # at most max_docs small rows
-
-
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS) -> Model:
-    rows = training_rows(docs, labels, max_docs, max_chars).toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic", order.alias("_o"), text.alias("_t"))  # at most max_docs small rows
+    narrow = rows.select("_o", "_t", F.octet_length("text").alias("size")).distinct().orderBy("_o", "_t").limit(max_docs).collect()  # three numbers a row
+    total = last = 0
+    for last, r in enumerate(narrow):
+        total += r["size"]
+        if total > max_bytes:
+            break
+    else:
+        last = len(narrow)
+    if last < len(narrow):
+        end = narrow[last]
+        rows = rows.where((F.col("_o") < end["_o"]) | ((F.col("_o") == end["_o"]) & (F.col("_t") < end["_t"])))
+    elif narrow:
+        end = narrow[-1]
+        rows = rows.where((F.col("_o") < end["_o"]) | ((F.col("_o") == end["_o"]) & (F.col("_t") <= end["_t"])))
+    return rows.dropDuplicates(["_o", "_t"]).select("doc_id", "text", "toxic")
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS, max_bytes: int = MAX_BYTES) -> Model:
+    rows = training_rows(docs, labels, max_docs, max_chars, max_bytes).toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
     texts = rows.column("text").combine_chunks() if rows.num_rows else pa.array([], pa.string())
     return train(texts, np.asarray(rows.column("toxic").to_pylist(), dtype=float))
 

@@ -139,6 +139,19 @@ def test_quality(spark, docs):
         assert not (r.kept and failed)
 
 
+def test_toxicity_sample_is_bounded(spark):
+    # Ids that repeat do not widen the sample; bytes are bounded too; equal rows count once.
+    rows = [(1, f"text {i} " + "x" * 100) for i in range(500)] + [(2, "same")] * 300 + [(3, "y" * 50_000), (4, None), (None, "z"), (6, "short")]
+    made = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, None), (3, 1), (4, 1), (None, 1), (6, 0)], "doc_id long, toxic int")
+    folds = {i: fold(i) for i in (1, 2, 6)}
+    every = toxicity.training_rows(made, labels).collect()
+    assert sorted(r.text for r in every) == sorted({t for i, t in rows if folds.get(i)})
+    assert toxicity.training_rows(made, labels, max_docs=40).count() == 40
+    few = toxicity.training_rows(made, labels, max_bytes=3000).collect()
+    assert 0 < sum(len(r.text) for r in few) <= 3000 and {r.text for r in few} <= {r.text for r in every}
+
+
 def spark_hash(*values):
     """The 64-bit hash of texts or longs, each seeded with the one before."""
     seed = 42
