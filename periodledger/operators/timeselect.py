@@ -179,14 +179,58 @@ def require_known_periods(classified: DataFrame) -> DataFrame:
 
 def relevant_reports(classified: DataFrame, selection: TimeSelection, *, index_year: str | None = None) -> DataFrame:
     """Index entries whose months meet the request. With ``index_year``, an entry listed under
-    another year than the one it reports is an error (``period_error``), never an omission."""
+    another year than the one it reports is an error (``period_error``), never an omission.
+    Entries stored by ``scan_year`` are read for the requested years only."""
     if index_year is not None:
-        clash = F.col("period_year") != F.col(index_year)
-        classified = classified.withColumn("period_error", F.coalesce(
-            F.col("period_error"), F.when(clash, "period_differs_from_index_year")))
+        classified = with_index_clash(classified, index_year)
+    classified = of_years(classified, selection)
     return classified.where(F.col("period_error").isNotNull() | P.overlaps(F.col("periods"), selection.array()))
 
 
+def with_index_clash(classified: DataFrame, index_year: str) -> DataFrame:
+    clash = F.col("period_year") != F.col(index_year)
+    return classified.withColumn("period_error", F.coalesce(
+        F.col("period_error"), F.when(clash, "period_differs_from_index_year")))
+
+
+# --- storage by year -------------------------------------------------------------------
+#
+# A request is decided on a computed list of months, which no scan can use. Tables written with
+# ``scan_year`` as their partition column carry the year in which a row can meet a request, NULL
+# where the row must be looked at by every request. A condition on that plain column prunes folders.
+
+SCAN_YEAR = "scan_year"
+
+
+def with_scan_year(table: DataFrame) -> DataFrame:
+    """``scan_year`` of classified index entries (those with ``period_error``) or of records. Covered months never cross a year."""
+    if "period_error" in table.columns:
+        return table.withColumn(SCAN_YEAR, F.when(F.col("period_error").isNull(), F.col("period_year")))
+    known = with_row_periods(table)
+    return known.withColumn(SCAN_YEAR, F.when(F.size("periods") > 0, F.col("year"))).drop("periods")
+
+
+def of_years(table: DataFrame, selection: TimeSelection) -> DataFrame:
+    """The rows a request has to look at; all rows of a table without ``scan_year``."""
+    if SCAN_YEAR not in table.columns:
+        return table
+    return table.where(F.col(SCAN_YEAR).isin(*selection.years) | F.col(SCAN_YEAR).isNull())
+
+
+def requested_by(records: DataFrame, requests: DataFrame) -> DataFrame:
+    """Records that meet any request of an expanded table (:func:`expand_requests`), and those without a known period.
+
+    The years of all requests, at most one row for each of the 200 years a request can name, prune the folders of a table stored by
+    ``scan_year`` while the query runs.
+    """
+    wanted = requests.where(F.col("mode") != "invalid").select(F.explode("periods").alias("period")).distinct()
+    years = F.broadcast(wanted.select(F.substring("period", 1, 4).cast("int").alias(SCAN_YEAR)).distinct())  # bounded by the calendar
+    months = F.broadcast(wanted.agg(F.collect_set("period").alias("_wanted")))  # one row, at most 2,400 months
+    known = with_row_periods(records.join(years, SCAN_YEAR, "left_semi")).crossJoin(months)
+    met = known.where(P.overlaps(F.col("periods"), F.col("_wanted"))).select(records.columns)
+    return met.unionByName(records.where(F.col(SCAN_YEAR).isNull()))
+
+
 def with_row_periods(records: DataFrame) -> DataFrame:
     """Months covered by each extracted record, as ``periods``."""
     return records.withColumn("periods", P.covered_periods(
@@ -194,8 +238,9 @@ def with_row_periods(records: DataFrame) -> DataFrame:
 
 
 def requested_rows(records: DataFrame, selection: TimeSelection) -> DataFrame:
-    """Records that meet the request, and those without a known period (kept for audit)."""
-    kept = with_row_periods(records)
+    """Records that meet the request, and those without a known period (kept for audit). Records
+    stored by ``scan_year`` are read for the requested years only."""
+    kept = with_row_periods(of_years(records, selection))
     wanted = (F.size("periods") == 0) | P.overlaps(F.col("periods"), selection.array())
     return kept.where(wanted).drop("periods")
 

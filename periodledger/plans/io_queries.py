@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from periodledger.functions.hashing import content_hash
-from periodledger.plans import fixtures
-from periodledger.plans.common import text
+from periodledger.plans import fixtures, oracles
+from periodledger.plans.common import GROUP, QUARTER, joined, text
 from periodledger.sources.reports import attach_enterprises, explode_index
+from periodledger.sources.scratch import materialize, shared_folder
 from periodledger.sources.sinks import contract_difference, flatten_for_csv, ingest_new
+from periodledger.streaming.ingest import ReportStore
 
 
 def q_body_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,15 +117,38 @@ WITH a AS (
   SELECT doc_id, text, doc_id % 3 = 1 AS stored, CASE WHEN doc_id % 11 = 4 THEN 5 ELSE 1 END AS arrived,
          doc_id % 11 = 4 AND doc_id % 13 = 5 AND doc_id % 7 <> 3 AS mixed, doc_id % 7 = 3 AS changed FROM documents WHERE doc_id % 3 > 0)"""
 
+def _arriving_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report bodies in the form in which they arrive at a store."""
+    bodies = fixtures.bodies(spark, sf_dir)
+    return bodies.select(
+        F.col("filed_permit").alias("permit_code"), F.col("report_id").alias("reportId"), F.lit("p").alias("provinceSharding"), F.lit("y").alias("yearSharding"),
+        "enterprise_id", F.concat(F.lit("u"), "report_id").alias("source_url"), content_hash(F.col("body")).alias("air_sha256"), "body", "meta", "enterprise")
+
+
+def q_incremental_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches into a store, the second one with late reports and repeats: the totals are those of all reports at once."""
+    arriving = materialize(_arriving_bodies(spark, sf_dir), "arriving")
+    store = ReportStore(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}", QUARTER, buckets=8)
+    part = F.crc32("reportId") % 5
+    store.take(arriving.where(part > 0), 1)
+    store.take(arriving.where(part < 2), 2)
+    return store.table("period_summary").select(
+        *GROUP, "enterprise_name", "status", "month_coverage_complete", "period_total", "period_total_decimal",
+        "covered_full_months_total", joined("missing_periods"), joined("conflict_periods"), "lower_priority_disagreement")
+
+
 QUERIES = {
+    "q_incremental_refresh": q_incremental_refresh,
     "q_body_hash": q_body_hash, "q_index_listing": q_index_listing, "q_attach_enterprises": q_attach_enterprises, "q_csv_flatten": q_csv_flatten,
     "q_contract_diff": q_contract_diff, "q_ingest_new": q_ingest_new, "q_ingest_hash_conflict": q_ingest_hash_conflict,
 }
 ORACLES = {
+    "q_incremental_refresh": oracles.period_summary(list(QUARTER.periods), True),
     "q_body_hash": "SELECT doc_id, sha256(text) AS sha, CAST(length(text) AS INT) AS n_chars FROM documents",
     "q_index_listing": LISTING_SQL, "q_attach_enterprises": ATTACH_SQL, "q_csv_flatten": CSV_SQL, "q_contract_diff": CONTRACT_SQL,
     "q_ingest_new": INGEST + """ SELECT doc_id, 'u' || doc_id AS source_url, sha256(text || CASE WHEN changed THEN '+' ELSE '' END) AS air_sha256
         FROM a WHERE NOT stored AND NOT mixed""",
-    "q_ingest_hash_conflict": INGEST + """ SELECT doc_id, CAST(arrived AS BIGINT) AS arrived, CASE WHEN mixed THEN 'copies_differ' ELSE 'differs_from_store' END AS reason
-        FROM a WHERE mixed OR (stored AND changed)""",
+    "q_ingest_hash_conflict": INGEST + """ SELECT doc_id, CAST(arrived AS BIGINT) AS arrived, CASE WHEN mixed THEN 'copies_differ' ELSE 'differs_from_store' END AS reason,
+        'u' || doc_id AS source_url, sha256(text || mark) AS air_sha256
+        FROM a, unnest(CASE WHEN mixed THEN ['', '?'] WHEN changed THEN ['+'] ELSE [''] END) AS m(mark) WHERE mixed OR (stored AND changed)""",
 }

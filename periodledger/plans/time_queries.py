@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from periodledger.operators import timeselect
 from periodledger.plans import fixtures, oracles
+from periodledger.sources.scratch import materialize
 from periodledger.plans.common import QUARTER, joined, sql_list
 
 
@@ -175,12 +176,52 @@ PARTITION_SQL = "WITH " + oracles.RECORDS + """
 SELECT enterprise_id, period_kind, count(*) AS n, CASE WHEN period_kind = 'month' THEN 'monthly' ELSE 'native' END AS part
 FROM records GROUP BY 1, 2"""
 
+def _by_year(table: DataFrame, name: str) -> DataFrame:
+    """A table written by year into the shared folder and read back."""
+    return materialize(timeselect.with_scan_year(table), name, partition_by=[timeselect.SCAN_YEAR])
+
+
+def q_pruned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as q_requested_rows, from records stored by year."""
+    kept = timeselect.requested_rows(_by_year(_with_unknown(spark, sf_dir), "records-by-year"), QUARTER)
+    return kept.groupBy("enterprise_id", "period_kind", F.col("year").isNull().alias("no_year")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_pruned_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same entries as q_index_relevant, from entries stored by year."""
+    classified = timeselect.with_index_clash(timeselect.with_report_period(fixtures.index_entries(spark, sf_dir)), "index_year")
+    kept = timeselect.relevant_reports(_by_year(classified, "index-by-year"), QUARTER)
+    return kept.select("report_id", "index_year", "period_kind", "period_error")
+
+
+def _customers_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per customer, in each of the three ways and invalid."""
+    k = F.col("c_custkey") % 4
+    return fixtures.table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(k == 1, F.array(F.lit(1996))).alias("years"), F.when(k == 1, F.array(F.lit(3))).alias("months"),
+        F.when(k == 2, "1997-11").alias("start"), F.when(k == 2, "1998-01-10").alias("end"), F.when(k == 0, F.array(F.lit("1994-02"))).alias("explicit"))
+
+
+def q_pruned_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records stored by year that meet any customer's request."""
+    stored = _by_year(_with_unknown(spark, sf_dir), "records-by-year")
+    kept = timeselect.requested_by(stored, timeselect.expand_requests(_customers_requests(spark, sf_dir)))
+    return kept.groupBy("enterprise_id", "period_kind", "year").agg(F.count(F.lit(1)).alias("n"))
+
+
+PRUNED_REQUESTS_SQL = "WITH " + ROWS + """,
+asked AS (SELECT DISTINCT unnest(CASE c_custkey % 4 WHEN 0 THEN ['1994-02'] WHEN 1 THEN ['1996-03'] WHEN 2 THEN ['1997-11', '1997-12', '1998-01'] ELSE [] END) AS p FROM customer)
+SELECT enterprise_id, period_kind, CAST(yr AS INT) AS year, count(*) AS n FROM rows
+WHERE len(periods) = 0 OR list_has_any(periods, (SELECT list(p) FROM asked)) GROUP BY 1, 2, 3"""
+
 QUERIES = {
+    "q_pruned_rows": q_pruned_rows, "q_pruned_index": q_pruned_index, "q_pruned_requests": q_pruned_requests,
     "q_periods_grid": q_periods_grid, "q_periods_range": q_periods_range, "q_periods_explicit": q_periods_explicit,
     "q_report_period": q_report_period, "q_index_relevant": q_index_relevant, "q_row_periods": q_row_periods,
     "q_requested_rows": q_requested_rows, "q_partition_kinds": q_partition_kinds,
 }
 ORACLES = {
+    "q_pruned_rows": REQUESTED_SQL, "q_pruned_index": RELEVANT_SQL, "q_pruned_requests": PRUNED_REQUESTS_SQL,
     "q_periods_grid": GRID_SQL, "q_periods_range": RANGE_SQL, "q_periods_explicit": EXPLICIT_SQL,
     "q_report_period": PERIOD_SQL, "q_index_relevant": RELEVANT_SQL, "q_row_periods": ROW_PERIODS_SQL,
     "q_requested_rows": REQUESTED_SQL, "q_partition_kinds": PARTITION_SQL,

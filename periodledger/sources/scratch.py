@@ -22,9 +22,9 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once and read it back: cuts the lineage, survives lost executors, and later
-    readers get column pruning and pushdown."""
+    readers get column pruning and pushdown; with ``partition_by``, folder pruning too."""
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*(partition_by or [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from periodledger.operators.timeselect import TimeSelection
+from periodledger.sources.scratch import materialize
 
 CONTRACT_VERSION = "1"
 QUERY_FIELDS = ["mode", "province", "city", "county", "name", "permit"]
@@ -64,8 +66,7 @@ def contract_difference(stored: DataFrame, wanted: DataFrame, by: list[str] | No
 
 def guard_contract(spark: SparkSession, path: str, wanted: DataFrame) -> None:
     """Refuse an output made for another request; claim a new one. A handful of rows."""
-    from pyspark.errors import AnalysisException
-
+    
     try:
         stored = spark.read.schema("field string, value string").json(path)
         known = stored.limit(1).count()
@@ -81,25 +82,40 @@ def guard_contract(spark: SparkSession, path: str, wanted: DataFrame) -> None:
 
 # --- idempotent ingest -----------------------------------------------------------------
 
+ROW_ADDRESS = "_row_address"
+
+
+def with_row_address(stored: DataFrame) -> DataFrame:
+    """Rows of a stored table with a 64-bit hash of their file and place in it."""
+    return stored.select("*", F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias(ROW_ADDRESS))
+
+
 def ingest_new(new: DataFrame, store: DataFrame, *, keys: list[str] | None = None, url: str = "source_url",
-               sha: str = "air_sha256") -> tuple[DataFrame, DataFrame]:
+               sha: str = "air_sha256", stored: bool = False) -> tuple[DataFrame, DataFrame]:
     """Split arriving reports into rows to append and conflicts.
 
     A report that is stored with the same URL and content is already there. One whose URL or
     content differs, from the store or between two arriving copies, is a conflict and not
-    appended. Copies within the arriving rows are merged map-side, so a report that arrives a
-    million times is shuffled once per task.
+    appended; conflicts have a row for each differing URL and content that arrived.
+
+    What happens to a report is decided on numbers: its key, a 128-bit mark of URL and content and
+    the address of its row, in a hash aggregate that merges copies map-side. Only the row at the address
+    decided on is then fetched, so bodies take part in no aggregate and no sort. ``stored`` says that ``new`` is read from
+    Parquet files, each row once; other rows are stored first.
     """
     keys = keys or REPORT_IDENTITY
-    payload = [c for c in new.columns if c not in keys]
-    mark = F.sha2(F.concat_ws("|", F.coalesce(url, F.lit("")), F.coalesce(sha, F.lit(""))), 256)
-    merged = new.withColumn("_mark", mark).groupBy(*keys).agg(
-        F.min_by(F.struct(*payload), "_mark").alias("_row"), F.min("_mark").alias("_lo"), F.max("_mark").alias("_hi"),
-        F.count(F.lit(1)).alias("arrived"))
-    known = store.select(*keys, mark.alias("_stored")).groupBy(*keys).agg(F.min("_stored").alias("_stored"))
+    columns, both = new.columns, [F.coalesce(url, F.lit("")), F.coalesce(sha, F.lit(""))]
+    marks = [F.xxhash64(*both).alias("_m1"), F.xxhash64(F.lit(1), *both).alias("_m2")]
+    arrived = with_row_address(new if stored else materialize(new, "arrivals"))
+    merged = arrived.select(*keys, ROW_ADDRESS, *marks).groupBy(*keys).agg(
+        F.min(ROW_ADDRESS).alias(ROW_ADDRESS), F.count(F.lit(1)).alias("arrived"),
+        *[f(m).alias(f"{m}{n}") for m in ("_m1", "_m2") for f, n in ((F.min, "_lo"), (F.max, "_hi"))])
+    known = store.select(*keys, *marks).groupBy(*keys).agg(F.min("_m1").alias("_s1"), F.min("_m2").alias("_s2"))
     judged = merged.join(known, keys, "left")
-    clash = (F.col("_lo") != F.col("_hi")) | F.coalesce(F.col("_stored") != F.col("_lo"), F.lit(False))
-    append = judged.where(F.col("_stored").isNull() & ~clash).select(*[F.col(k) if k in keys else F.col("_row")[k].alias(k) for k in new.columns])
-    reason = F.when(F.col("_lo") != F.col("_hi"), "copies_differ").otherwise("differs_from_store")
-    conflicts = judged.where(clash).select(*keys, "arrived", reason.alias("reason"))
-    return append, conflicts
+    mixed = (F.col("_m1_lo") != F.col("_m1_hi")) | (F.col("_m2_lo") != F.col("_m2_hi"))
+    other = F.coalesce((F.col("_s1") != F.col("_m1_lo")) | (F.col("_s2") != F.col("_m2_lo")), F.lit(False))
+    accepted = judged.where(F.col("_s1").isNull() & ~mixed).select(ROW_ADDRESS).hint("shuffle_hash")
+    append = arrived.join(accepted, ROW_ADDRESS, "left_semi").select(columns)
+    reason = F.when(mixed, "copies_differ").otherwise("differs_from_store")
+    clashes = judged.where(mixed | other).select(*keys, "arrived", reason.alias("reason"))
+    return append, arrived.select(*keys, url, sha).distinct().join(clashes, keys)
