@@ -40,15 +40,15 @@ def fresh(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*names)
 
 
-def add_in_arrow(df: DataFrame, ddl: str, make: Callable[[pa.RecordBatch], list[pa.Array]], replace: tuple[str, ...] = ()) -> DataFrame:
-    """``df`` plus the columns of ``ddl``, made batch by batch. Existing columns of those names are replaced;
-    columns named in ``replace`` are the leading results of ``make`` and keep their place."""
+def add_in_arrow(df: DataFrame, ddl: str, make: Callable[[pa.RecordBatch], list[pa.Array]], replace: tuple[str, ...] = (), rows: int = 1 << 30) -> DataFrame:
+    """``df`` plus the columns of ``ddl``, made batch by batch, at most ``rows`` rows at a time. Existing columns of those names are
+    replaced; columns named in ``replace`` are the leading results of ``make`` and keep their place."""
     added = T.StructType.fromDDL(ddl)
     df = fresh(df, *added.names)
     schema = T.StructType(df.schema.fields + added.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(i, rows) for whole in batches for i in range(0, max(whole.num_rows, 1), rows)):
             made = make(batch)
             columns = list(batch.columns)
             for name, values in zip(replace, made):

@@ -22,7 +22,7 @@ from __future__ import annotations
 import codecs
 import struct
 from collections.abc import Iterator
-from functools import partial
+from functools import cached_property, partial
 
 import ahocorasick
 import numpy as np
@@ -35,9 +35,10 @@ from .remembered import Remembered
 from .words import buffers, mix, span_hashes
 
 BLANK = "▁"
-PAIRS = 2_000_000
+PAIRS = 300_000
 WINDOW = 1 << 21
 ROWS = 500
+BATCH = 2000
 # Kinds of tokens in a model file, and the model type of merges.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MERGES = 2
@@ -121,7 +122,6 @@ class Model:
             self.id[letter] = len(self.id) + len(tokens)
         self.text = {i: t for t, i in self.id.items()}
         self.tokens = len(tokens)
-        self._automaton()
         self.pairs: dict[int, bool] = {}
         self.remembered = Remembered()
 
@@ -141,16 +141,18 @@ class Model:
             if at:
                 ranks[at - 1] = score.get(parts[at - 1] + parts[at])
 
-    def _automaton(self) -> None:
-        """The automaton of the tokens that their own letters merge to, and each one's next shorter beginning."""
+    @cached_property
+    def walker(self) -> tuple[ahocorasick.Automaton, list[int], list[int]]:
+        """The automaton of the tokens that their own letters merge to, their lengths, and each one's next shorter beginning."""
         whole = {t: i for t, i in self.id.items() if len(t) == 1 or self.merge(t) == [t]}
-        self.automaton = ahocorasick.Automaton()
-        self.size, self.shorter = [0] * (max(self.id.values()) + 1), [-1] * (max(self.id.values()) + 1)
+        automaton = ahocorasick.Automaton()
+        size, shorter = [0] * (max(self.id.values()) + 1), [-1] * (max(self.id.values()) + 1)
         for token, i in whole.items():
-            self.size[i] = len(token)
-            self.automaton.add_word(token, i)
-            self.shorter[i] = next((whole[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in whole), -1)
-        self.automaton.make_automaton()
+            size[i] = len(token)
+            automaton.add_word(token, i)
+            shorter[i] = next((whole[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in whole), -1)
+        automaton.make_automaton()
+        return automaton, size, shorter
 
     def _together(self, key: int) -> bool:
         a, b = self.text[key >> 20], self.text[key & 0xFFFFF]
@@ -162,8 +164,9 @@ class Model:
     def backtrack(self, text: str) -> tuple[list[int], list[int]]:
         """Tokens of a text and their places. An unknown letter is token -1."""
         n = len(text)
-        longest, size, shorter = [-1] * (n + 1), self.size, self.shorter
-        for last, token in self.automaton.iter(text):
+        automaton, size, shorter = self.walker
+        longest = [-1] * (n + 1)
+        for last, token in automaton.iter(text):
             longest[last + 1 - size[token]] = token  # longer ones end later
         failed = bytearray((n >> 3) + 1)
         pairs, together = self.pairs, self._together
@@ -309,9 +312,9 @@ def _decode_batch(shared, batch: pa.RecordBatch) -> list[pa.Array]:
 
 def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
     """``docs`` plus ``ids``: the whole text encoded, with the end id and without a start id."""
-    return add_in_arrow(docs, "ids array<int>", partial(_encode_batch, _shared(docs, model)))
+    return add_in_arrow(docs, "ids array<int>", partial(_encode_batch, _shared(docs, model)), rows=BATCH)
 
 
 def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     """``encoded`` plus ``decoded``: the text its ``ids`` stand for."""
-    return add_in_arrow(encoded, "decoded string", partial(_decode_batch, _shared(encoded, model)))
+    return add_in_arrow(encoded, "decoded string", partial(_decode_batch, _shared(encoded, model)), rows=BATCH)

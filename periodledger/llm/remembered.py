@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-REMEMBERED = 350_000
+REMEMBERED = 200_000
 
 
 class Remembered:
