@@ -2,8 +2,9 @@
 
 A pre-token's symbols are the leaves of a segment tree that holds, for each pair of neighbours, its merge rank and
 place; the root is the leftmost lowest-rank merge. A merge changes three leaves, each in logarithmic time, and merging
-ends when the root is empty. Merged pre-tokens are remembered per worker in tables of bounded size (a memory of
-results, not a limit: what is not remembered is computed).
+ends when the root is empty. The trees of pre-tokens of like length are worked on side by side, one merge in each at a
+time, with array operations; a pre-token of more than ``SIDE`` bytes has its tree to itself. Merged pre-tokens are
+remembered per worker in tables of bounded size (a memory of results, not a limit: what is not remembered is computed).
 
 Texts are cut before a blank that a non-blank follows. The pre-tokenizer always starts a new pre-token there, so the
 pieces between cuts can be encoded one by one. A batch's pieces are found and hashed (64 bits) with array operations,
@@ -16,10 +17,9 @@ The vocabulary is read once on the driver and broadcast; its size is that of the
 
 from __future__ import annotations
 
-import array
 import json
 import re
-from functools import partial
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +28,19 @@ import regex
 from pyspark.sql import DataFrame
 
 from .common import add_in_arrow
+from .remembered import Remembered
 from .words import buffers, span_hashes
 
 # Fixed value: the pre-token pattern of byte-level BPE.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBERED = 350_000
+SIDE = 33
+TREES = 16_384
 WINDOW = 1 << 21
 ROWS = 500
+BATCH = 2000
+PRETOKENS = 150_000
 _NONE = 1 << 62
+_PLAIN = re.compile(rb" ?[A-Za-z]+")  # one pre-token, whatever follows the cut behind it
 # Bytes before which a blank is no cut: blanks, and lead bytes of letters among which there are blanks.
 _UNCUT = np.zeros(256, bool)
 _UNCUT[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -61,10 +66,7 @@ class Vocabulary:
             raise ValueError("a byte-level vocabulary without normalizer and prefix space is needed")
         ids, letters = spec["model"]["vocab"], byte_letters()
         self.byte_id = [ids[letters[b]] for b in range(256)]
-        self.merges = {}
-        for rank, pair in enumerate(spec["model"]["merges"]):
-            a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges.setdefault(ids[a] << 20 | ids[b], (rank, ids[a + b]))
+        self._listed, self._ids = spec["model"]["merges"], ids
         back = {c: b for b, c in letters.items()}
         added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         size = max([*ids.values(), *added.values()]) + 1
@@ -77,11 +79,23 @@ class Vocabulary:
         self.special = re.compile(b"|".join(re.escape(t.encode()) for t in sorted(added, key=len, reverse=True))) if added else None
         self.pattern = regex.compile(PRETOKEN)
         self.pretokens: dict[bytes, bytes] = {}
-        self._forget()
+        self.remembered = Remembered()
+
+    @cached_property
+    def merges(self) -> dict[int, tuple[int, int]]:
+        """Rank and token of each pair of ids that merges."""
+        known: dict[int, tuple[int, int]] = {}
+        for rank, pair in enumerate(self._listed):
+            a, b = pair.split(" ") if isinstance(pair, str) else pair
+            known.setdefault(self._ids[a] << 20 | self._ids[b], (rank, self._ids[a + b]))
+        self._listed, self._ids = [], {}
+        return known
 
-    def _forget(self) -> None:
-        self.pieces: dict[int, int] = {}
-        self.start, self.length, self.arena = array.array("q"), array.array("q"), array.array("i")
+    @cached_property
+    def _sorted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = sorted(self.merges)
+        ranks, news = np.array([[*self.merges[k]] for k in order] + [[0, 0]], np.int64).T
+        return np.array([*order, _NONE], np.int64), ranks, news
 
     def merge(self, ids: list[int]) -> list[int]:
         """All merges of one pre-token, by the segment tree."""
@@ -136,17 +150,78 @@ class Vocabulary:
                     tree[i] = value = low
         return [i for i in ids if i >= 0]
 
-    def _piece(self, piece: bytes) -> bytes:
-        return b"".join([self.pretokens.get(t) or self._pretoken(t) for t in self.pattern.findall(piece.decode("utf-8", "replace"))])
-
-    def _pretoken(self, token: str) -> bytes:
-        byte_id = self.byte_id
-        ids = array.array("i", self.merge([byte_id[b] for b in token.encode()])).tobytes()
-        if len(self.pretokens) >= REMEMBERED:
-            self.pretokens.clear()
-        if len(token) < 64:
-            self.pretokens[token] = ids
-        return ids
+    def _known(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether pairs merge, the rank and the merged token."""
+        pairs, ranks, news = self._sorted
+        key = a << 20 | b
+        at = np.searchsorted(pairs, key)
+        return pairs[at] == key, ranks[at], news[at]
+
+    def _merge_side_by_side(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """All merges of pre-tokens of at most ``size`` + 1 bytes, ``size`` a power of two: a row of ids each (-1 where none) and how many."""
+        rows, levels = len(starts), size.bit_length()
+        column = np.arange(size + 1)
+        inside = column < lengths[:, None]
+        ids = np.where(inside, np.array(self.byte_id)[data[np.where(inside, starts[:, None] + column, 0)]], -1)
+        known, rank, merged = self._known(ids[:, :-1], ids[:, 1:])
+        tree = np.full((rows, 2 * size), _NONE)
+        tree[:, size:] = np.where(known & inside[:, 1:], rank * size + column[:-1], _NONE)
+        half = size // 2
+        while half:
+            tree[:, half:2 * half] = np.minimum(tree[:, 2 * half:4 * half:2], tree[:, 2 * half + 1:4 * half:2])
+            half //= 2
+        after, before = np.tile(column + 1, (rows, 1)), np.tile(column - 1, (rows, 1))
+        live = np.arange(rows)
+
+        def put(row: np.ndarray, leaf: np.ndarray, value: np.ndarray | int) -> None:
+            at = leaf + size
+            tree[row, at] = value
+            for _ in range(levels - 1):
+                at = at >> 1
+                tree[row, at] = np.minimum(tree[row, 2 * at], tree[row, 2 * at + 1])
+
+        while True:
+            live = live[tree[live, 1] != _NONE]
+            if not len(live):
+                return ids, (ids >= 0).sum(1)
+            at = tree[live, 1] % size
+            gone = after[live, at]
+            right, left, new = after[live, gone], before[live, at], merged[live, at]
+            ids[live, at], ids[live, gone], after[live, at] = new, -1, right
+            follows = right < lengths[live]
+            value = np.full(len(live), _NONE)
+            row, to, place = live[follows], right[follows], at[follows]
+            before[row, to] = place
+            known, rank, pair = self._known(new[follows], ids[row, to])
+            value[follows] = np.where(known, rank * size + place, _NONE)
+            merged[row, place] = pair
+            put(row, gone[follows], _NONE)
+            put(live, at, value)
+            leads = left >= 0
+            row, place = live[leads], left[leads]
+            known, rank, pair = self._known(ids[row, place], new[leads])
+            merged[row, place] = pair
+            put(row, place, np.where(known, rank * size + place, _NONE))
+
+    def merge_all(self, tokens: list[bytes]) -> dict[bytes, bytes]:
+        """The ids, as 32-bit integers, of distinct pre-tokens."""
+        found: dict[bytes, bytes] = {}
+        lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        data = np.frombuffer(b"".join(tokens), np.uint8)
+        starts = np.cumsum(lengths) - lengths
+        for i in np.flatnonzero(lengths > SIDE).tolist():
+            found[tokens[i]] = np.array(self.merge([self.byte_id[b] for b in tokens[i]]), np.int32).tobytes()
+        least, size = 0, 4
+        while least < SIDE:
+            chosen = np.flatnonzero((lengths > least) & (lengths <= min(size + 1, SIDE)))
+            for a in range(0, len(chosen), TREES):
+                part = chosen[a:a + TREES]
+                ids, counts = self._merge_side_by_side(data, starts[part], lengths[part], size)
+                flat, ends = ids[ids >= 0].astype(np.int32).tobytes(), np.cumsum(counts) * 4
+                for i, lo, hi in zip(part.tolist(), (ends - counts * 4).tolist(), ends.tolist()):
+                    found[tokens[i]] = flat[lo:hi]
+            least, size = size + 1, size * 2
+        return found
 
     def encode(self, text: str) -> bytes:
         """The ids of one text as consecutive 32-bit integers."""
@@ -187,27 +262,27 @@ class Vocabulary:
         return np.flatnonzero(begins) + at
 
     def _window(self, data: np.ndarray, edges: np.ndarray, fixed: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.pieces) >= REMEMBERED:
-            self._forget()
-        hashes = span_hashes(data, edges)
-        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        get, places = self.pieces.get, []
-        for key, i in zip(distinct.tolist(), first.tolist()):
-            place = get(key)
-            if place is None:
-                a, b = int(edges[i]), int(edges[i + 1])
-                ids = array.array("i", [fixed[a]]) if a in fixed else array.array("i", self._piece(data[a:b].tobytes()))
-                place = self.pieces[key] = len(self.start)
-                self.start.append(len(self.arena))
-                self.length.append(len(ids))
-                self.arena.extend(ids)
-            places.append(place)
-        start, length = self.start, self.length
-        places = np.array(places, np.int64)
-        begin, size = np.array(start)[places][back], np.array(length)[places][back]
-        ends = np.cumsum(size)
-        where = np.repeat(begin - (ends - size), size) + np.arange(ends[-1])
-        return np.frombuffer(self.arena, np.int32)[where], size
+        def make(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            base, whole = int(edges[0]), data[edges[0]:edges[-1]].tobytes()
+            if len(self.pretokens) >= PRETOKENS:
+                self.pretokens.clear()
+            known, split, plain = self.pretokens, self.pattern.findall, _PLAIN.fullmatch
+            pieces: list[list[bytes]] = []
+            for a, b in zip((edges[chosen] - base).tolist(), (edges[chosen + 1] - base).tolist()):
+                piece = whole[a:b]
+                if a + base in fixed:
+                    pieces.append([])
+                else:
+                    pieces.append([piece] if plain(piece) else [t.encode() for t in split(piece.decode("utf-8", "replace"))])
+            new = self.merge_all(list({t for tokens in pieces for t in tokens if t not in known}))
+            made = [b"".join([new[t] if t in new else known[t] for t in tokens]) for tokens in pieces]
+            for i, at in enumerate(edges[chosen].tolist()) if fixed else ():
+                if at in fixed:
+                    made[i] = np.int32(fixed[at]).tobytes()
+            known.update((t, ids) for t, ids in new.items() if len(t) < 64)
+            return np.frombuffer(b"".join(made), np.int32), np.fromiter(map(len, made), np.int64, len(made)) // 4
+
+        return self.remembered.look_up(span_hashes(data, edges), make)
 
 
 _loaded: dict[int, Vocabulary] = {}
@@ -257,9 +332,9 @@ def _joined(tokens: pa.Array, ids: pa.Array) -> pa.Array:
 
 def encode(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """``docs`` plus ``ids``: the whole text encoded, no special tokens added."""
-    return add_in_arrow(docs, "ids array<int>", partial(_encode_batch, _shared(docs, vocabulary)))
+    return add_in_arrow(docs, "ids array<int>", partial(_encode_batch, _shared(docs, vocabulary)), rows=BATCH)
 
 
 def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """``encoded`` plus ``decoded``: the text its ``ids`` stand for, special tokens included."""
-    return add_in_arrow(encoded, "decoded string", partial(_decode_batch, _shared(encoded, vocabulary)))
+    return add_in_arrow(encoded, "decoded string", partial(_decode_batch, _shared(encoded, vocabulary)), rows=BATCH)
