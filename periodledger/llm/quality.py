@@ -55,7 +55,8 @@ def bucket_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) ->
     kind = "array<smallint>" if buckets <= 1 << 15 else "array<int>"
     hashed = docs.select("doc_id", _word_hashes(words_of(F.col("text"))).alias("hashes"))
     rows = hashed.select("doc_id", _ngram_buckets(F.col("hashes"), buckets).cast(kind).alias("grams"))
-    trusted = trusted_ids(labels).withColumn("trusted", F.lit(1))
+    # The same join at every size: a broadcast of the labels has no bound. Many rows of one id are split by the adaptive join.
+    trusted = trusted_ids(labels).withColumn("trusted", F.lit(1)).hint("merge")
     joined = rows.where("doc_id is not null").join(trusted, "doc_id", "left").select(F.coalesce("trusted", F.lit(0)).alias("trusted"), "grams")
     both = joined.union(rows.where("doc_id is null").select(F.lit(0).alias("trusted"), "grams"))
     # An inner explode would make the optimizer infer a filter on the size of the list and copy its whole derivation into the scan.
