@@ -114,6 +114,32 @@ def last_wins(mapping: Column) -> Column:
     return F.when(F.size(once) < F.size(keys), F.map_from_arrays(once, latest)).otherwise(mapping)
 
 
+def object_keys(text: Column) -> Column:
+    """Keys of a JSON object whose values are objects, where that needs a look: a map of strings shows the string ``"{}"``
+    and the object ``{}`` alike. NULL where no string starts like an object, so that what looks like one is one; also where
+    an object further down repeats a key, which the typed parser refuses."""
+    typed = last_typed(F.from_json(text, "map<string,variant>"))
+    return F.when(holds_braced_text(text), F.map_keys(F.map_filter(typed, lambda k, v: F.schema_of_variant(v).startswith("OBJECT"))))
+
+
+def object_places(text: Column) -> Column:
+    """For each item of a JSON list whether it is an object; NULL as in :func:`object_keys`."""
+    return F.when(holds_braced_text(text), F.transform(F.from_json(text, "array<variant>"), lambda v: F.schema_of_variant(v).startswith("OBJECT")))
+
+
+def holds_braced_text(text: Column) -> Column:
+    """Whether some string in a JSON text starts with a brace: nowhere else does a quote stand before one."""
+    return text.rlike(r'"\s*\{')
+
+
+def last_typed(mapping: Column) -> Column:
+    """:func:`last_wins` for a map of variants, which cannot be compared: entries that a later one of the same key follows go."""
+    entries = F.map_entries(mapping)
+    keys = F.map_keys(mapping)
+    kept = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.map_from_entries(kept)).otherwise(mapping)
+
+
 def clean_map(mapping: Column) -> Column:
     """Clean every value of a string map, keeping its keys, of which none may be repeated
     (:func:`last_wins`)."""

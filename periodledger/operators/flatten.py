@@ -16,7 +16,7 @@ from periodledger.functions.context import (
     CONTEXT_COLUMNS, EMPTY_MAP, STRING_MAP, TEMPLATE_COLUMNS, with_report_context)
 from periodledger.functions.identity import emission_scope, with_pollutant
 from periodledger.functions.numbers import NUMBER_COLUMNS, with_number
-from periodledger.functions.text import clean_map, last_wins
+from periodledger.functions.text import clean_map, last_wins, object_keys, object_places
 from periodledger.functions.units import UNIT_COLUMNS, unit_evidence, with_unit
 from periodledger.sources.scratch import materialize
 
@@ -37,20 +37,26 @@ def pointer_token(name: Column) -> Column:
 def parse_bodies(reports: DataFrame) -> DataFrame:
     """Add ``info`` and ``sections`` (air sections only, raw text by name) to reports with a
     JSON ``body``. ``body_ok`` is false where the body is not a JSON object. Of a key that an
-    object repeats, the last value counts."""
+    object repeats, the last value counts. A JSON string is never opened, whatever it holds."""
     once = lambda df, *names: df.withColumns({n: last_wins(F.col(n)) for n in names})
     step = once(reports.withColumn("_body", F.from_json("body", STRING_MAP)), "_body")
+    step = step.withColumn("_objects", object_keys(F.col("body")))
+    part = lambda key: F.when(F.coalesce(F.array_contains("_objects", key), F.lit(True)), F.try_element_at("_body", F.lit(key)))
     step = once(step.withColumns({
         "body_ok": F.col("_body").isNotNull(),
-        "info": F.from_json(F.try_element_at("_body", F.lit("companyInfo")), STRING_MAP),
-        "_emission": F.from_json(F.try_element_at("_body", F.lit("emissionInfo")), STRING_MAP),
+        "info": F.from_json(part("companyInfo"), STRING_MAP),
+        "_emission": F.from_json(part("emissionInfo"), STRING_MAP),
     }), "info", "_emission")
     sections = F.map_filter("_emission", lambda k, v: F.lower(k).startswith("air") & v.isNotNull())
-    return step.withColumn("sections", sections).drop("_body", "_emission", "body")
+    return step.withColumn("sections", sections).drop("_body", "_emission", "_objects", "body")
 
 
-def unparseable_bodies(reports: DataFrame) -> DataFrame:
-    return parse_bodies(reports).where(~F.col("body_ok")).drop("info", "sections", "body_ok")
+def rejected_bodies(reports: DataFrame, keys: list[str]) -> DataFrame:
+    """Reports that give no records because their body cannot be read: ``keys`` and ``reason``. Flattening passes over
+    them, so a run keeps this table beside its records."""
+    read = F.from_json("body", STRING_MAP).isNotNull()
+    reason = F.when(F.col("body").isNull(), "body_missing").when(~read, "body_not_an_object")
+    return reports.select(*keys, reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def explode_rows(parsed: DataFrame) -> DataFrame:
@@ -61,12 +67,14 @@ def explode_rows(parsed: DataFrame) -> DataFrame:
     step = parsed.select("*", F.explode_outer("sections").alias("section", "_text")).drop("sections")
     step = step.where(F.col("section").isNotNull())
     step = step.withColumn("_items", F.from_json("_text", "array<string>"))
-    step = step.withColumn("_is_list", F.col("_items").isNotNull())
+    step = step.withColumn("_is_list", F.col("_items").isNotNull()).withColumn("_objects", object_places(F.col("_text")))
     step = step.select(
         *[c for c in step.columns if c not in ("_items", "_text")],
         F.posexplode_outer(F.coalesce("_items", F.array("_text"))).alias("_ord", "raw_row"))
     step = step.where(F.col("_ord").isNotNull())
-    step = step.withColumn("_row", F.from_json("raw_row", STRING_MAP))
+    # Of a list, an item that is a string stays one; a section that is no list stands for its only row.
+    item = F.coalesce(F.get("_objects", F.col("_ord")), F.lit(True))
+    step = step.withColumn("_row", F.from_json(F.when(item, F.col("raw_row")), STRING_MAP)).drop("_objects")
     step = step.withColumn("_row", last_wins(F.col("_row")))
     base = F.concat(F.lit("/emissionInfo/"), pointer_token(F.col("section")),
                     F.when(F.col("_is_list"), F.concat(F.lit("/"), F.col("_ord").cast("string"))).otherwise(F.lit("")))
@@ -163,21 +171,27 @@ def flatten_reports(reports: DataFrame, *, keys: list[str] | None = None, allow_
 def prune_sections(reports: DataFrame, *, keys: list[str]) -> DataFrame:
     """Air parts of each body at any object depth (lists are not entered), in long form.
 
-    Columns: ``keys``, ``path``, ``value`` (NULL for a JSON null) and ``status``, which is ``kept``: the rows are the
-    company object and the entries with air keys. Objects are opened level by level, in as many jobs as the deepest
-    body has levels; each level is stored and holds only the air parts found and the objects still to open.
+    Columns: ``keys``, ``path``, ``value`` (NULL for a JSON null) and ``status``: ``kept`` for the company object and the entries
+    with air keys, or ``unreadable_body`` (no path) for a body that is not a JSON object. A JSON string is not entered. Objects are opened
+    level by level, in as many jobs as the deepest body has levels; each level is stored and holds only the air parts found and the
+    objects still to open.
     """
-    company, parts = F.col("path") == "/companyInfo", []
-    inside = reports.select(*keys, F.lit("").alias("_above"), F.from_json("body", STRING_MAP).alias("_object"))
+    company = F.col("path") == "/companyInfo"
+    opened = [F.from_json("_text", STRING_MAP).alias("_object"), object_keys(F.col("_text")).alias("_objects")]
+    top = reports.select(*keys, F.lit("").alias("_above"), F.col("body").alias("_text"))
+    unreadable = top.where(F.from_json("_text", STRING_MAP).isNull()).select(
+        *keys, *[F.lit(None).cast("string").alias(c) for c in ("path", "value")], F.lit("unreadable_body").alias("status"))
+    parts, inside = [unreadable], top.select(*keys, "_above", *opened)
     while True:
-        entries = inside.withColumn("_object", last_wins(F.col("_object"))).select(*keys, "_above", F.explode("_object").alias("_key", "value"))
+        entries = inside.withColumn("_object", last_wins(F.col("_object"))).select(*keys, "_above", "_objects", F.explode("_object").alias("_key", "value"))
         entries = entries.withColumn("path", F.concat("_above", F.lit("/"), pointer_token(F.col("_key"))))
         air = F.lower("_key").startswith("air")
         kept = (company & F.col("value").isNotNull()) | (~company & air)
-        entries = entries.withColumn("status", F.when(kept, "kept").when(~company & F.ltrim("value").startswith("{"), "open"))
+        nested = F.ltrim("value").startswith("{") & F.coalesce(F.array_contains("_objects", F.col("_key")), F.lit(True))
+        entries = entries.withColumn("status", F.when(kept, "kept").when(~company & nested, "open"))
         level = materialize(entries.where(F.col("status").isNotNull()).select(*keys, "path", "value", "status"), "pruned-level")
         parts.append(level.where(F.col("status") == "kept"))
         inner = level.where(F.col("status") == "open")
         if inner.isEmpty():
             return reduce(DataFrame.unionByName, parts)
-        inside = inner.select(*keys, F.col("path").alias("_above"), F.from_json("value", STRING_MAP).alias("_object"))
+        inside = inner.select(*keys, F.col("path").alias("_above"), F.col("value").alias("_text")).select(*keys, "_above", *opened)

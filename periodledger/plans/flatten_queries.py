@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodledger.operators.flatten import explode_rows, flatten_reports, parse_bodies, prune_sections
+from periodledger.operators.flatten import explode_rows, flatten_reports, parse_bodies, prune_sections, rejected_bodies
 from periodledger.plans import fixtures, oracles
 from periodledger.plans.common import joined, text
 
@@ -90,6 +90,46 @@ UNION ALL SELECT report_id, '/a/b/c/d/e/airNull', 'kept', false FROM r WHERE e %
 UNION ALL SELECT report_id, '/airNotes', 'kept', false FROM r WHERE e % 2 = 0"""
 
 
+def _mixed_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One body per customer: readable, broken, missing, or with JSON strings that hold objects."""
+    k = F.col("c_custkey")
+    quoted = F.lit('"{\\"airQ\\":1,\\"pollutantName\\":\\"NOx\\"}"')
+    body = (
+        F.when(k % 8 == 0, F.lit('{"emissionInfo":')).when(k % 8 == 1, F.lit("[1]")).when(k % 8 == 2, F.lit(None))
+        .when(k % 8 == 3, F.concat(F.lit('{"a":'), quoted, F.lit(',"b":{"airB":'), text(k), F.lit("}}")))
+        .when(k % 8 == 4, F.concat(F.lit('{"emissionInfo":{"airX":['), quoted, F.lit(',{"pollutantName":"NOx"}]},"airTop":'), quoted, F.lit("}")))
+        .when(k % 8 == 5, F.concat(F.lit('{"emissionInfo":'), quoted, F.lit(',"companyInfo":'), quoted, F.lit("}")))
+        .when(k % 8 == 6, F.lit('"{}"')).otherwise(F.lit('{"x":{"airY":{"z":1}}}')))
+    return fixtures.table(spark, sf_dir, "customer").select("c_custkey", body.alias("body"))
+
+
+def q_unreadable_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rejected_bodies(_mixed_bodies(spark, sf_dir), ["c_custkey"])
+
+
+UNREADABLE_SQL = """
+SELECT c_custkey, CASE WHEN c_custkey % 8 = 2 THEN 'body_missing' ELSE 'body_not_an_object' END AS reason FROM customer WHERE c_custkey % 8 IN (0, 1, 2, 6)"""
+
+
+def q_typed_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Air parts and section rows of the mixed bodies: strings are not opened, unreadable bodies are listed."""
+    bodies = _mixed_bodies(spark, sf_dir)
+    parts = prune_sections(bodies, keys=["c_custkey"]).select("c_custkey", F.coalesce("path", F.lit("-")).alias("path"), "status")
+    rows = explode_rows(parse_bodies(bodies)).select(
+        "c_custkey", F.col("row_json_pointer").alias("path"), F.coalesce(F.nullif(F.array_join("schema_warnings", ","), F.lit("")), F.lit("row")).alias("status"))
+    return parts.unionByName(rows)
+
+
+TYPED_SQL = """
+WITH c AS (SELECT c_custkey, c_custkey % 8 AS r FROM customer)
+SELECT c_custkey, '-' AS path, 'unreadable_body' AS status FROM c WHERE r IN (0, 1, 2, 6)
+UNION ALL SELECT c_custkey, '/b/airB', 'kept' FROM c WHERE r = 3
+UNION ALL SELECT c_custkey, '/emissionInfo/airX', 'kept' FROM c WHERE r = 4 UNION ALL SELECT c_custkey, '/airTop', 'kept' FROM c WHERE r = 4
+UNION ALL SELECT c_custkey, '/emissionInfo/airX/0', 'row_not_object' FROM c WHERE r = 4 UNION ALL SELECT c_custkey, '/emissionInfo/airX/1', 'row' FROM c WHERE r = 4
+UNION ALL SELECT c_custkey, '/companyInfo', 'kept' FROM c WHERE r = 5
+UNION ALL SELECT c_custkey, '/x/airY', 'kept' FROM c WHERE r = 7"""
+
+
 def q_extract_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Malformed sections: one body per customer, in six shapes."""
     k = F.col("c_custkey")
@@ -115,9 +155,11 @@ SELECT c_custkey, '/emissionInfo/airA~1b~0c' || CASE WHEN i >= 0 THEN '/' || i E
 
 QUERIES = {
     "q_extract_long": q_extract_long, "q_eligibility": q_eligibility, "q_unpivot_periods": q_unpivot_periods,
+    "q_unreadable_bodies": q_unreadable_bodies, "q_typed_walk": q_typed_walk,
     "q_prune_sections": q_prune_sections, "q_extract_warnings": q_extract_warnings,
 }
 ORACLES = {
     "q_extract_long": EXTRACT_SQL, "q_eligibility": ELIGIBILITY_SQL, "q_unpivot_periods": UNPIVOT_SQL,
+    "q_unreadable_bodies": UNREADABLE_SQL, "q_typed_walk": TYPED_SQL,
     "q_prune_sections": PRUNE_SQL, "q_extract_warnings": WARNINGS_SQL,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from periodledger.functions.hashing import content_hash
 from periodledger.plans import fixtures, oracles
 from periodledger.plans.common import GROUP, QUARTER, joined, text
-from periodledger.sources.reports import attach_enterprises, explode_index
+from periodledger.sources.reports import attach_enterprises, explode_index, scan_report_files
 from periodledger.sources.scratch import materialize, shared_folder
 from periodledger.sources.sinks import contract_difference, flatten_for_csv, ingest_new
 from periodledger.streaming.ingest import ReportStore
@@ -117,6 +117,26 @@ WITH a AS (
   SELECT doc_id, text, doc_id % 3 = 1 AS stored, CASE WHEN doc_id % 11 = 4 THEN 5 ELSE 1 END AS arrived,
          doc_id % 11 = 4 AND doc_id % 13 = 5 AND doc_id % 7 <> 3 AS mixed, doc_id % 7 = 3 AS changed FROM documents WHERE doc_id % 3 > 0)"""
 
+def q_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as files, one for the text and one for its origin, some without the other; read back and hashed."""
+    d = F.col("doc_id")
+    docs = fixtures.table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
+    origin = F.to_json(F.struct(F.col("lang").alias("permit_code"), text("doc_id").alias("report_id")))
+    files = F.array_compact(F.array(F.when(d % 10 != 3, F.struct(F.lit("body").alias("kind"), F.col("text").alias("value"))),
+                                    F.when(d % 10 != 7, F.struct(F.lit("origin").alias("kind"), origin.alias("value")))))
+    folder = f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+    docs.select("doc_id", F.inline(files)).write.partitionBy("doc_id", "kind").text(folder)
+    found = scan_report_files(spark, folder, bodies="doc_id=*/kind=body/part-*", metas="doc_id=*/kind=origin/part-*", key=r"doc_id=([^/]+)/kind=")
+    return found.select("report_key", "permit_code", "report_id", "air_sha256", F.length("body").alias("n_chars"), "file_status")
+
+
+# The text sink ends a file with a line end.
+FILES_SQL = """
+SELECT CAST(doc_id AS VARCHAR) AS report_key, CASE WHEN doc_id % 10 <> 7 THEN lang END AS permit_code, CASE WHEN doc_id % 10 <> 7 THEN CAST(doc_id AS VARCHAR) END AS report_id,
+       CASE WHEN doc_id % 10 <> 3 THEN sha256(coalesce(text, '') || chr(10)) END AS air_sha256, CASE WHEN doc_id % 10 <> 3 THEN CAST(length(coalesce(text, '')) + 1 AS INT) END AS n_chars,
+       CASE doc_id % 10 WHEN 3 THEN 'provenance_without_body' WHEN 7 THEN 'body_without_provenance' ELSE 'paired' END AS file_status FROM documents"""
+
+
 def _arriving_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report bodies in the form in which they arrive at a store."""
     bodies = fixtures.bodies(spark, sf_dir)
@@ -138,11 +158,12 @@ def q_incremental_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "q_incremental_refresh": q_incremental_refresh,
+    "q_incremental_refresh": q_incremental_refresh, "q_report_files": q_report_files,
     "q_body_hash": q_body_hash, "q_index_listing": q_index_listing, "q_attach_enterprises": q_attach_enterprises, "q_csv_flatten": q_csv_flatten,
     "q_contract_diff": q_contract_diff, "q_ingest_new": q_ingest_new, "q_ingest_hash_conflict": q_ingest_hash_conflict,
 }
 ORACLES = {
+    "q_report_files": FILES_SQL,
     "q_incremental_refresh": oracles.period_summary(list(QUARTER.periods), True),
     "q_body_hash": "SELECT doc_id, sha256(text) AS sha, CAST(length(text) AS INT) AS n_chars FROM documents",
     "q_index_listing": LISTING_SQL, "q_attach_enterprises": ATTACH_SQL, "q_csv_flatten": CSV_SQL, "q_contract_diff": CONTRACT_SQL,

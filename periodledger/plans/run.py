@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from periodledger.operators.audit import verify_run
 from periodledger.operators.coverage import coverage
-from periodledger.operators.flatten import flatten_reports
+from periodledger.operators.flatten import flatten_reports, rejected_bodies
 from periodledger.operators.resolve import summarize_native, summarize_period
 from periodledger.operators.timeselect import TimeSelection, partition_kinds, requested_rows
 from periodledger.sources.sinks import contract_rows, guard_contract, write_table
 
-TABLES = ["manifest", "enterprises", "indexes", "reports", "air_records", "air_monthly_rows", "air_native_period_rows",
+TABLES = ["manifest", "enterprises", "indexes", "reports", "rejected_reports", "air_records", "air_monthly_rows", "air_native_period_rows",
           "period_summary", "native_period_summary", "coverage"]
 
 
@@ -29,6 +29,7 @@ def collect_run(spark: SparkSession, out: str, *, selection: TimeSelection, repo
     tables = load_run(spark, out, ["manifest", "enterprises", "indexes", "reports"])
     records = requested_rows(flatten_reports(tables["reports"]), selection)
     write_table(records, f"{out}/air_records", partition_by=["period_kind"])
+    write_table(rejected_bodies(tables["reports"], ["permit_code", "report_id"]), f"{out}/rejected_reports")
     written = spark.read.parquet(f"{out}/air_records")
     monthly, native_rows = partition_kinds(written)
     write_table(monthly, f"{out}/air_monthly_rows")

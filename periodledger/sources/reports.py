@@ -10,26 +10,35 @@ from periodledger.functions.context import STRING_MAP, url_parameter
 from periodledger.functions.hashing import content_hash
 
 
-def _whole_files(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    files = spark.read.text(f"{folder}/reports/*/{name}", wholetext=True)
-    return files.select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1).alias("report_key"), F.col("value"))
+# Where a run folder keeps its files, and what in a path names the report: the directory of the file.
+BODY_FILES, META_FILES, KEY_IN_PATH = "reports/*/air_report.json", "reports/*/provenance.json", r"([^/]+)/[^/]+$"
 
 
-def scan_report_folder(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored reports of a run folder: ``report_key, permit_code, report_id, body, air_sha256, meta``.
+def _whole_files(spark: SparkSession, pattern: str, key: str) -> DataFrame:
+    files = spark.read.format("binaryFile").load(pattern)
+    return files.select(F.regexp_extract(F.col("_metadata.file_path"), key, 1).alias("report_key"), "content")
+
+
+def scan_report_files(spark: SparkSession, folder: str, *, bodies: str = BODY_FILES, metas: str = META_FILES, key: str = KEY_IN_PATH) -> DataFrame:
+    """All stored reports of a run folder: ``report_key, permit_code, report_id, body, air_sha256, meta, file_status``.
 
-    Body and provenance lie side by side as files and are joined by their directory. Keep the
-    result as a table (:func:`periodledger.sources.sinks.write_table`): there both share a row
-    and the join is never needed again.
+    Body and provenance lie side by side as files and are joined by their directory. The hash is that of the file's bytes. A file
+    without its partner stays, with the status ``body_without_provenance`` or ``provenance_without_body``; several files under one key
+    are all paired.
     """
-    bodies = _whole_files(spark, folder, "air_report.json").select(
-        "report_key", F.col("value").alias("body"), content_hash(F.col("value")).alias("air_sha256"))
-    meta = _whole_files(spark, folder, "provenance.json").select("report_key", F.from_json("value", STRING_MAP).alias("meta"))
-    joined = bodies.join(meta, "report_key")
-    return joined.select(
+    body = _whole_files(spark, f"{folder}/{bodies}", key).select(
+        "report_key", F.decode("content", "UTF-8").alias("body"), F.sha2("content", 256).alias("air_sha256"))
+    meta = _whole_files(spark, f"{folder}/{metas}", key).select("report_key", F.from_json(F.decode("content", "UTF-8"), STRING_MAP).alias("meta"), F.lit(True).alias("_described"))
+    status = F.when(F.col("air_sha256").isNull(), "provenance_without_body").when(F.col("_described").isNull(), "body_without_provenance").otherwise("paired")
+    return body.join(meta, "report_key", "full").select(
         "report_key", F.try_element_at("meta", F.lit("permit_code")).alias("permit_code"),
-        F.try_element_at("meta", F.lit("report_id")).alias("report_id"), "body", "air_sha256", "meta")
+        F.try_element_at("meta", F.lit("report_id")).alias("report_id"), "body", "air_sha256", "meta", status.alias("file_status"))
+
+
+def scan_report_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """The complete reports of a run folder. Keep the result as a table (:func:`periodledger.sources.sinks.write_table`): there
+    body and provenance share a row and the join is never needed again."""
+    return scan_report_files(spark, folder).where(F.col("file_status") == "paired").drop("file_status")
 
 
 def attach_enterprises(reports: DataFrame, enterprises: DataFrame, key: str = "enterprise_id", salts: int = 1) -> DataFrame:

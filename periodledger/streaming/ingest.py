@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from periodledger.operators.flatten import flatten_reports
+from periodledger.operators.flatten import flatten_reports, rejected_bodies
 from periodledger.operators.resolve import summarize_native, summarize_period
 from periodledger.operators.timeselect import TimeSelection, partition_kinds, requested_rows
 from periodledger.sources.scratch import materialize
@@ -33,7 +33,7 @@ _TOUCHED_SCHEMA = T.StructType([T.StructField("enterprise", T.StringType()), T.S
 
 @dataclass(frozen=True)
 class ReportStore:
-    """Tables ``reports``, ``conflicts``, ``records``, ``touched``, ``period_summary`` and ``native_summary`` under one folder.
+    """Tables ``reports``, ``conflicts``, ``rejects``, ``records``, ``touched``, ``period_summary`` and ``native_summary`` under one folder.
 
     Maintenance is by key. Reports lie by a hash bucket of the enterprise and by batch; a batch is compared with the keys of its
     buckets only. Only the reports a batch adds are flattened; their records lie by enterprise and batch. The totals of the
@@ -82,6 +82,7 @@ class ReportStore:
         conflicts.write.mode("overwrite").parquet(f"{self._path('conflicts')}/batch={batch_id}")
         self._replace(append.withColumn("batch", F.lit(batch_id).cast("long")), "reports", "bucket", "batch")
         added = self.reports().where(F.col("bucket").isin(buckets) & (F.col("batch") == batch_id))
+        rejected_bodies(added, REPORT_IDENTITY).write.mode("overwrite").parquet(f"{self._path('rejects')}/batch={batch_id}")
         records = requested_rows(flatten_reports(added), self.selection).withColumns({"enterprise": _enterprise(), "batch": F.lit(batch_id).cast("long")})
         self._replace(records, "records", "enterprise", "batch")
         touched = self.records().where(F.col("batch") == batch_id).select("enterprise", "enterprise_id").distinct()

@@ -1,5 +1,6 @@
 """What is read: folders pruned by year and by enterprise, bodies fetched once."""
 
+import hashlib
 import io
 import json
 import re
@@ -100,3 +101,18 @@ def test_bodies_are_in_no_aggregate_and_no_sort(spark):
         if re.match(r"\(\d+\) (HashAggregate|SortAggregate|ObjectHashAggregate|Sort)\b", step.strip()):
             assert "body" not in step
     assert "SortAggregate" not in plan_of(append)
+
+
+def test_files_without_a_partner_are_listed(spark, tmp_path):
+    from periodledger.sources.reports import scan_report_files, scan_report_folder
+
+    for name, files in {"one": ("air_report.json", "provenance.json"), "bare": ("air_report.json",), "lost": ("provenance.json",)}.items():
+        place = tmp_path / "reports" / name
+        place.mkdir(parents=True)
+        for file in files:
+            (place / file).write_bytes(b'{"permit_code":"Q1","report_id":"' + name.encode() + b'"}\r\n')
+    got = {r.report_key: r for r in scan_report_files(spark, str(tmp_path)).collect()}
+    assert {k: r.file_status for k, r in got.items()} == {"one": "paired", "bare": "body_without_provenance", "lost": "provenance_without_body"}
+    assert got["lost"].report_id == "lost" and got["lost"].body is None and got["bare"].report_id is None
+    assert got["bare"].air_sha256 == hashlib.sha256(b'{"permit_code":"Q1","report_id":"bare"}\r\n').hexdigest()
+    assert [r.report_key for r in scan_report_folder(spark, str(tmp_path)).collect()] == ["one"]

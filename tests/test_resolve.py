@@ -2,7 +2,7 @@ import random
 from decimal import Decimal
 
 import pytest
-from conftest import body, reports_df, row
+from conftest import filing, line, reports_df
 from pyspark.sql import functions as F
 
 from periodledger.operators.flatten import flatten_reports
@@ -14,24 +14,22 @@ SUMMER = select_time(years=[2024], months=[6, 7, 8])
 
 
 def month(m, value, rid=None, year=2024, **more):
-    return body([row(value, **more)], f"{year}年{m:02d}月"), {"report_id": rid or f"m-{year}-{m}"}
+    return filing(f"{year}年{m:02d}月", "月报", [line(value, **more)]), {"report_id": rid or f"m-{year}-{m}"}
 
 
 def quarter(q, rid="quarter", year=2024, **fields):
-    base = {k: v for k, v in row().items() if k != "emitValue"}
-    return body([{**base, **fields}], f"{year}年第{q}季", "季报", reportQuarter=q), {"report_id": rid}
+    return filing(f"{year}年第{q}季", "季报", [line(**fields)], reportQuarter=q), {"report_id": rid}
 
 
 def annual(total, **more):
-    base = {k: v for k, v in row().items() if k != "emitValue"}
-    return body([{**base, "total": total, **more}], "2024年", "年报"), {"report_id": "annual"}
+    return filing("2024年", "年报", [line(total=total, **more)]), {"report_id": "annual"}
 
 
 CASES = {
     "priority": [month(6, "0.1"), month(7, "0.2"), month(8, "0.3"), quarter(3, firstMonth="9", secondMonth="9")],
     "revision": [month(6, "1"), month(7, "2", "old"), month(7, "3", "new"), month(8, "4"), quarter(3, firstMonth="3", secondMonth="4")],
     "agreeing": [month(6, "1"), month(7, "2", "old"), month(7, "2.0", "new"), month(8, "3")],
-    "duplicate": [month(6, "1"), month(8, "3"), (body([row("2"), row("2")], "2024年07月"), {"report_id": "dup"})],
+    "duplicate": [month(6, "1"), month(8, "3"), (filing("2024年07月", "月报", [line("2"), line("2")]), {"report_id": "dup"})],
     "repeat": [month(6, "1"), month(6, "1"), month(7, "2"), month(8, "3")],
     "units": [month(6, "1", unit="吨"), month(7, "1000", unit="kg"), month(8, "1", unit="吨")],
     "unknown": [month(m, "1", name="未知指标", code="X") for m in (6, 7, 8)],
@@ -41,7 +39,7 @@ CASES = {
     "wide clash": [month(6, "1e300"), month(6, "2e300", "other"), month(7, "1"), month(8, "1")],
     "deep clash": [month(6, "1.0000000000000000000000000000000000000000001"), month(6, "1", "other"), month(7, "1"), month(8, "1")],
     "quarter fills": [month(6, "1"), quarter(3, firstMonth="2", secondMonth="3")],
-    "unidentified": [(body([row("1")], "2024年06月"), {}), (body([row("9", outlet="DA002"), row("1")], "2024年06月"), {}), month(7, "1"), month(8, "1")],
+    "unidentified": [(filing("2024年06月", "月报", [line("1")]), {}), (filing("2024年06月", "月报", [line("9", "DA002"), line("1")]), {}), month(7, "1"), month(8, "1")],
 }
 
 
@@ -130,8 +128,8 @@ def test_scopes_permits_outlets_stay_apart(spark):
     reports = []
     for m in (6, 7, 8):
         for permit in ("P1", "P2"):
-            b = body([row("1"), row("2", outlet="DA002")], f"2024年{m}月", permit=permit)
-            b["emissionInfo"]["airTotalEmission"] = [row("3", outlet="", portType="全厂合计")]
+            whole = line("3", "", part="airTotalEmission", portType="全厂合计")
+            b = filing(f"2024年{m}月", "月报", [line("1"), line("2", "DA002"), whole], permitCode=permit)
             reports.append(("x", b, {"report_id": f"{permit}-{m}"}, {"enterprise_id": "E1", "permit_code": permit}))
     got = summarize_period(flatten_reports(reports_df(spark, reports)), SUMMER).collect()
     assert sorted(g.period_total for g in got) == [3, 3, 6, 6, 9, 9]

@@ -2,7 +2,7 @@ import json
 import os
 
 import pytest
-from conftest import body
+from conftest import filing, line
 from pyspark.sql import functions as F
 
 from periodledger.functions.hashing import content_hash
@@ -18,8 +18,7 @@ SELECTION = select_time(start="2023-12", end="2024-01")
 
 
 def _quarterly(year, q, value="1"):
-    fields = {"pollutantCode": "A21002", "pollutantName": "NOx", "outletCode": "D", "firstMonth": value, "secondMonth": "2", "thirdMonth": "3", "total": "6"}
-    return body([fields], f"{year}年第{q:02d}季度季报表", "季报", reportQuarter=q)
+    return filing(f"{year}年第{q:02d}季度季报表", "季报", [line(outlet="D", name="NOx", firstMonth=value, secondMonth="2", thirdMonth="3", total="6")], reportQuarter=q)
 
 
 def _folder(tmp_path):
