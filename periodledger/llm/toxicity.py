@@ -110,11 +110,18 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(found, -700, 700)))
 
 
-def train(texts: pa.Array, labels: np.ndarray, epochs: int = 60, rate: float = 0.05, decay: float = 1e-5, seed: int = 7) -> Model:
-    """Joint training of bucket embeddings and softmax on labelled texts."""
-    share = float(labels.mean()) if len(labels) else 0.0
-    if share in (0.0, 1.0):
-        return Model(np.zeros(BUCKETS), 700.0 if share else -700.0)
+@dataclass
+class Features:
+    """Labelled texts as numbers: each text's distinct words with their parts, and each word's buckets."""
+
+    doc: np.ndarray
+    word: np.ndarray
+    part: np.ndarray
+    slices: list[tuple[int, int, np.ndarray, np.ndarray]]  # words from, to, their buckets, how many each has
+    per_word: np.ndarray
+
+
+def features(texts: pa.Array) -> Features:
     data, offsets = buffers(texts)
     # Run by run only distinct words of a text are kept, with their number.
     hashes, docs, times, kinds_, at, to = [], [], [], [], [], []
@@ -128,12 +135,25 @@ def train(texts: pa.Array, labels: np.ndarray, epochs: int = 60, rate: float = 0
     kinds_, at, to = (np.concatenate(x) for x in (kinds_, at, to))
     kinds_, first = np.unique(kinds_, return_index=True)
     kinds, at, to = len(kinds_), at[first], to[first]
-    doc, word = np.concatenate(docs), np.searchsorted(kinds_, np.concatenate(hashes)).astype(np.int32)
-    part = parts(doc, np.concatenate(times), len(labels))
+    doc, word = np.concatenate(docs), np.concatenate([np.searchsorted(kinds_, h).astype(np.int32) for h in hashes])
+    part = parts(doc, np.concatenate(times), len(texts)).astype(np.float32)
     del hashes, docs, times, kinds_, first
     # Buckets of SLICE words at a time, so that no step makes wide copies of all of them.
-    slices = [(i, min(i + SLICE, kinds), *subwords(*spans(data, at[i:i + SLICE], to[i:i + SLICE]))) for i in range(0, max(kinds, 1), SLICE)]
-    per_word = np.maximum(np.concatenate([np.bincount(owner, minlength=hi - lo) for lo, hi, _, owner in slices]), 1)
+    slices = []
+    for lo in range(0, max(kinds, 1), SLICE):
+        hi = min(lo + SLICE, kinds)
+        bucket, owner = subwords(*spans(data, at[lo:hi], to[lo:hi]))
+        slices.append((lo, hi, bucket[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=hi - lo).astype(np.int32)))
+    return Features(doc, word, part, slices, np.maximum(np.concatenate([n for *_, n in slices]), 1))
+
+
+def train(found: Features, labels: np.ndarray, epochs: int = 60, rate: float = 0.05, decay: float = 1e-5, seed: int = 7) -> Model:
+    """Joint training of bucket embeddings and softmax on labelled texts."""
+    share = float(labels.mean()) if len(labels) else 0.0
+    if share in (0.0, 1.0):
+        return Model(np.zeros(BUCKETS), 700.0 if share else -700.0)
+    doc, word, part, slices, per_word = found.doc, found.word, found.part, found.slices, found.per_word
+    kinds = len(per_word)
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 0.05, (BUCKETS, WIDTH)).astype(np.float32)
     softmax = rng.normal(0, 0.3, (WIDTH, 2)).astype(np.float32)
@@ -143,11 +163,11 @@ def train(texts: pa.Array, labels: np.ndarray, epochs: int = 60, rate: float = 0
     for step in range(1, epochs + 1):
         direction = softmax[:, 1] - softmax[:, 0]
         one = embed @ direction
-        summed = np.concatenate([np.bincount(owner, one[bucket], hi - lo) for lo, hi, bucket, owner in slices])
+        summed = np.concatenate([np.bincount(np.repeat(np.arange(hi - lo), n), one[bucket], hi - lo) for lo, hi, bucket, n in slices])
         logit = np.bincount(doc, part * (summed / per_word)[word], len(labels)) + bias[1] - bias[0]
         error = (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - labels) / len(labels)
         to_word = np.bincount(word, part * error[doc], kinds) / per_word
-        to_bucket = sum(np.bincount(bucket, to_word[lo:hi][owner], BUCKETS) for lo, hi, bucket, owner in slices).astype(np.float32)
+        to_bucket = sum(np.bincount(bucket, np.repeat(to_word[lo:hi], n), BUCKETS) for lo, hi, bucket, n in slices).astype(np.float32)
         pull = embed.T @ to_bucket
         gradients = [np.outer(to_bucket, direction) + decay * embed, np.stack([-pull, pull], 1), np.array([-error.sum(), error.sum()], np.float32)]
         for value, gradient, mean, square in zip(values, gradients, means, squares):
@@ -182,9 +202,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS,
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS, max_bytes: int = MAX_BYTES) -> Model:
-    rows = training_rows(docs, labels, max_docs, max_chars, max_bytes).toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
+    rows = training_rows(docs, labels, max_docs, max_chars, max_bytes).orderBy("doc_id", "text").toArrow()
+    marks = np.asarray(rows.column("toxic").to_pylist(), dtype=float)
     texts = rows.column("text").combine_chunks() if rows.num_rows else pa.array([], pa.string())
-    return train(texts, np.asarray(rows.column("toxic").to_pylist(), dtype=float))
+    del rows
+    if not len(marks) or marks.mean() in (0.0, 1.0):
+        return train(None, marks)
+    found = features(texts)
+    del texts  # training needs the numbers only
+    pa.default_memory_pool().release_unused()
+    return train(found, marks)
 
 
 def _score_batch(shared, batch: pa.RecordBatch) -> list[pa.Array]:
