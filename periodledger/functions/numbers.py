@@ -35,6 +35,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NUMBER_COLUMNS = ["value", "value_decimal", "value_digits", "value_exp", "value_scale", "value_id"]
 SUM_PRECISION = 28
+DIGITS = 38  # of value_digits; the text of a longer number is kept beside it (wide_digits)
 
 
 @lru_cache(maxsize=1)
@@ -65,14 +66,33 @@ def decimal_text(digits: str, exponent: str) -> Column:
 
     Takes column names, not expressions: both are used many times over.
     """
+    return F.expr(_decimal_sql(digits, exponent))
+
+
+def _decimal_sql(digits: str, exponent: str) -> str:
     point = f"({exponent} + length({digits}))"
-    return F.expr(f"""
+    return f"""
         case when {exponent} = 0 then {digits}
              when {exponent} < 0 and {point} > 0
                then concat(left({digits}, {point}), '.', substring({digits}, {point} + 1))
              when {exponent} < 0 and {point} > -6 then concat('0.', repeat('0', -{point}), {digits})
              else concat(left({digits}, 1), if(length({digits}) > 1, concat('.', substring({digits}, 2)), ''),
-                         'E', if({point} > 0, '+', ''), {point} - 1) end""")
+                         'E', if({point} > 0, '+', ''), {point} - 1) end"""
+
+
+def wide_digits(text: str) -> Column:
+    """All significant digits of a decimal text that has more than ``value_digits`` holds; NULL for any other."""
+    digits = f"trim(both '0' from replace(substring_index({text}, 'E', 1), '.'))"
+    return F.expr(f"case when length({text}) > {DIGITS} and length({digits}) > {DIGITS} then {digits} end")
+
+
+def wide_text_sql(digits: str, exponent: str, scale: str) -> str:
+    """SQL for the decimal text of a number given by all its digits (:func:`wide_digits`) and its ``value_exp`` and
+    ``value_scale``, of which the first counts from digit 38."""
+    power = f"({exponent} - length({digits}) + {DIGITS})"
+    pad = f"greatest({power} - {scale}, 0)"
+    parts = f"named_struct('d', concat({digits}, repeat('0', {pad})), 'p', {power} - {pad})"
+    return f"transform(array({parts}), x -> {_decimal_sql('x.d', 'x.p')})[0]"
 
 
 def with_number(df: DataFrame, clean: str, raw: str, present: str) -> DataFrame:
@@ -117,9 +137,9 @@ def with_number(df: DataFrame, clean: str, raw: str, present: str) -> DataFrame:
     })
     step = step.withColumns({
         "value_decimal": decimal_text("_digits", "value_scale"),
-        "value_digits": F.expr("cast(left(_bare, 38) as decimal(38,0))"),
+        "value_digits": F.expr(f"cast(left(_bare, {DIGITS}) as decimal(38,0))"),
         "value_exp": F.expr("cast(if(_bare = '0', 0, value_scale + length(_digits) - length(_bare)"
-                            " + greatest(length(_bare) - 38, 0)) as int)"),
+                            f" + greatest(length(_bare) - {DIGITS}, 0)) as int)"),
     })
     step = step.withColumn("value_id", F.expr("if(_ok, xxhash64(_bare, value_exp), null)"))
     return fence(step, ["value_status", *NUMBER_COLUMNS], df.columns)
@@ -127,7 +147,8 @@ def with_number(df: DataFrame, clean: str, raw: str, present: str) -> DataFrame:
 
 def with_rebuilt_text(df: DataFrame, output: str) -> DataFrame:
     """Decimal text of the number in ``value_digits, value_exp, value_scale``, as written with
-    that scale."""
+    that scale. Of a number with more digits than ``value_digits`` holds, zeros stand for the others: see
+    :func:`wide_text_sql`."""
     step = df.withColumn("_text", F.expr("cast(value_digits as string)"))
     step = step.withColumn("_pad", F.expr("if(_text = '0', 0, greatest(value_exp - value_scale, 0))"))
     step = step.withColumns({
@@ -166,10 +187,10 @@ def with_decimal_sum(df: DataFrame, values: str, wanted: Column, output: str) ->
             'whole', greatest(a.whole, length(cast(v.digits as string)) + v.exp), 'part', greatest(a.part, -v.scale),
             'raised', a.raised or coalesce(v.scale > 0, false)))"""),
     })
-    # 1000 addends add at most three digits to the longest whole part.
-    step = step.withColumn("_part", F.col("_span.part")).withColumn("_fits", F.expr(f"""
-        coalesce(_span.whole + _part <= {SUM_PRECISION - 3} and _part <= 18 and _span.whole <= 16
-                 and not _span.raised and size(_terms) <= 1000, true)"""))
+    # n addends add at most as many digits to the longest whole part as n - 1 has.
+    step = step.withColumns({"_part": F.col("_span.part"), "_whole": F.expr("_span.whole + length(cast(greatest(size(_terms) - 1, 1) as string))")})
+    step = step.withColumn("_fits", F.expr(f"""
+        coalesce(_whole + _part <= {SUM_PRECISION} and _part <= 18 and _whole <= 19 and _span.whole <= 17 and not _span.raised, true)"""))
     step = step.withColumn("_exact_sum", F.expr("""
         if(_fits, cast(aggregate(_terms, cast(0 as decimal(37,18)),
                                  (a, v) -> cast(a + cast(v.text as decimal(35,18)) as decimal(37,18))) as string), null)"""))

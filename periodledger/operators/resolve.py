@@ -9,6 +9,9 @@ shuffled and never gathered in one task:
 2. (group, period): which tier wins, whether it is in conflict;
 3. (group): the requested months, at most one entry each, and descriptive fields.
 
+Digits beyond the 38 that fit a fixed width are text. They are no part of steps 1 and 2, which tell such values apart by
+their hashes, and join the selected months in step 3, in the rows that bring the descriptions.
+
 Every group key comes from all requested records, so that a group with only a yearly report
 still appears with all its months missing.
 """
@@ -19,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from periodledger.functions import periods as P
-from periodledger.functions.numbers import with_decimal_sum, with_rebuilt_text
+from periodledger.functions.numbers import wide_digits, wide_text_sql, with_decimal_sum, with_rebuilt_text
 from periodledger.functions.text import first_filled
 from periodledger.operators.timeselect import TimeSelection, requested_rows, with_row_periods
 
@@ -41,14 +44,20 @@ def with_group_key(records: DataFrame) -> DataFrame:
     })
 
 
+def _valid() -> Column:
+    return F.col("aggregation_eligible") & F.col("value_decimal").isNotNull()
+
+
+def _tier() -> Column:
+    return F.when(_valid(), F.when(F.col("report_type") == "month", 1).when(F.col("report_type") == "quarter", 2).otherwise(3))
+
+
 def _candidates(records: DataFrame, keep: list[str]) -> DataFrame:
     """Narrow projection the aggregates run on."""
     keyed = with_group_key(records)
-    valid = F.col("aggregation_eligible") & F.col("value_decimal").isNotNull()
-    tier = F.when(valid, F.when(F.col("report_type") == "month", 1).when(F.col("report_type") == "quarter", 2).otherwise(3))
-    only_valid = lambda c: F.when(valid, c)
+    only_valid = lambda c: F.when(_valid(), c)
     return keyed.select(
-        *GROUP_KEY, *keep, tier.alias("tier"),
+        *GROUP_KEY, *keep, _tier().alias("tier"),
         only_valid(first_filled("report_id", "source_url", "source_row_report_id", F.lit(UNIDENTIFIED))).alias("document"),
         only_valid(F.col("value_id")).alias("value_id"), only_valid(F.col("value")).alias("value"),
         only_valid(F.col("value_digits")).alias("digits"), only_valid(F.col("value_exp")).alias("exp"),
@@ -124,6 +133,18 @@ _MONTH_FIELDS = [f.split(":")[0] for f in (
     "lower_priority_disagreement candidate_count source_count").split()]
 
 
+def _with_long_numbers() -> str:
+    """SQL: ``found`` with the whole text of selected values whose digits are listed in ``_wides``."""
+    same = "w.wide_period = m.period and w.wide_tier = if(m.selected_priority = 'month', 1, 2)"
+    text = wide_text_sql("w.wide", "m.value_exp", "m.value_scale")
+    whole = f"if(m.status = 'selected', get(transform(filter(_wides, w -> {same}), w -> {text}), 0), null)"
+    fields = ", ".join(f"'{f}', " + (f"coalesce({whole}, m.{f})" if f == "value_decimal" else f"m.{f}") for f in _MONTH_FIELDS)
+    return f"if(size(_wides) = 0, found, transform(found, m -> named_struct({fields})))"
+
+
+_WITH_LONG_NUMBERS = _with_long_numbers()
+
+
 def _months_of_groups(requested: DataFrame, selection: TimeSelection) -> DataFrame:
     """(group, period): one resolved entry for every month that has a candidate."""
     periodic = with_row_periods(requested.where(F.col("period_kind") == "month"))
@@ -139,13 +160,20 @@ def _months_of_groups(requested: DataFrame, selection: TimeSelection) -> DataFra
     return resolved.withColumn("selected_priority", priority)
 
 
+_WIDE = ["wide_period", "wide_tier", "wide"]
+
+
 def _descriptions(requested: DataFrame, extra: list[str]) -> DataFrame:
-    """Distinct descriptions of each group with the first year they are reported in.
+    """Distinct descriptions of each group with the first year they are reported in, and the valid values with more digits
+    than ``value_digits`` holds: ``wide`` with its month and tier, all NULL for the other rows.
 
     A hash aggregate that merges nearly everything map-side, so little of it is shuffled.
     """
-    return with_group_key(requested).groupBy(*GROUP_KEY, *extra, *DESCRIPTION).agg(
-        F.coalesce(F.min("year"), F.lit(9999)).alias("first_year"))
+    wide = F.when(_valid(), wide_digits("value_decimal"))
+    month = F.get(P.covered_periods(F.col("year"), F.col("period_kind"), F.col("month"), F.col("report_quarter")), 0)
+    keyed = with_group_key(requested).withColumns({
+        "wide": wide, "wide_tier": F.when(wide.isNotNull(), _tier()), "wide_period": F.when(wide.isNotNull(), month)})
+    return keyed.groupBy(*GROUP_KEY, *extra, *DESCRIPTION, *_WIDE).agg(F.coalesce(F.min("year"), F.lit(9999)).alias("first_year"))
 
 
 _D = "struct<first_year:int," + ",".join(f"{c}:string" for c in DESCRIPTION) + ">"
@@ -168,11 +196,15 @@ def summarize_period(records: DataFrame, selection: TimeSelection) -> DataFrame:
     requested = requested_rows(records, selection)
     months = _months_of_groups(requested, selection).select(
         *GROUP_KEY, F.struct(*_MONTH_FIELDS).cast(_MONTH).alias("m"), _undescribed())
-    described = _descriptions(requested, []).select(*GROUP_KEY, F.lit(None).cast(_MONTH).alias("m"), _described())
-    groups = months.unionByName(described).groupBy(*GROUP_KEY).agg(
+    # Several long numbers of a month and tier are a conflict: only a single one is kept.
+    described = _descriptions(requested, []).withColumn("d", _described()).groupBy(*GROUP_KEY, "wide_period", "wide_tier").agg(
+        F.min("d").alias("d"), F.min("wide").alias("wide"), F.max("wide").alias("_other"))
+    described = described.select(*GROUP_KEY, "d", F.when(F.col("wide") == F.col("_other"), F.struct(*_WIDE)).alias("w"))
+    groups = months.unionByName(described, allowMissingColumns=True).groupBy(*GROUP_KEY).agg(
         F.min("d").alias("d"),
-        # At most one entry per requested month, so the list is bounded by the request.
-        F.collect_list("m").alias("found"))
+        # At most one entry per requested month and two long numbers, so the lists are bounded by the request.
+        F.collect_list("m").alias("found"), F.collect_list("w").alias("_wides"))
+    groups = groups.withColumn("found", F.expr(_WITH_LONG_NUMBERS))
     missing = ("named_struct('period', p, 'status', 'missing', 'value', cast(null as double), 'value_decimal', cast(null as string),"
                " 'value_digits', cast(null as decimal(38,0)), 'value_exp', cast(null as int), 'value_scale', cast(null as int),"
                " 'selected_priority', cast(null as string), 'conflict_reasons', cast(array() as array<string>),"
@@ -238,11 +270,13 @@ def summarize_native(records: DataFrame, selection: TimeSelection) -> DataFrame:
     totals = _verdict(totals.withColumn("n_valid", F.coalesce("_n", F.lit(0))), None)
     fields = ["status", "value", "value_decimal", "conflict_reasons", "candidate_count", "source_count"]
     described = _descriptions(native, ["period_kind", "first_period"])
-    nothing = {f: F.lit(None).cast(totals.schema[f].dataType) for f in fields}
-    united = totals.select(*keys, *fields, _undescribed()).unionByName(
-        described.select(*keys, *[c.alias(n) for n, c in nothing.items()], _described()))
+    resolved = [*fields, "value_exp", "value_scale"]
+    united = totals.select(*keys, *resolved, _undescribed()).unionByName(
+        described.select(*keys, _described(), "wide"), allowMissingColumns=True)
     # One row of either kind per key: the maximum merely skips the NULLs of the other.
-    merged = united.groupBy(*keys).agg(F.min("d").alias("d"), *[F.max(f).alias(f) for f in fields])
+    merged = united.groupBy(*keys).agg(F.min("d").alias("d"), F.max("wide").alias("wide"), *[F.max(f).alias(f) for f in resolved])
+    merged = merged.withColumn("value_decimal", F.expr(
+        f"if(status = 'selected' and wide is not null, {wide_text_sql('wide', 'value_exp', 'value_scale')}, value_decimal)"))
     year, start = F.substring("first_period", 1, 4).cast("int"), F.substring("first_period", 6, 2).cast("int")
     covered = P.months_of(year, start, F.when(F.col("period_kind") == "quarter", start + 2).otherwise(12))
     merged = merged.withColumns({"covered_periods": covered, "_requested": selection.array()})

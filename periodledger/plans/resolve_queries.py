@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodledger.functions.numbers import with_decimal_sum, with_number
+from periodledger.functions.numbers import NUMBER_COLUMNS, with_decimal_sum, with_number
 from periodledger.operators import resolve
 from periodledger.operators.timeselect import TimeSelection
 from periodledger.plans import fixtures, oracles
@@ -27,6 +27,39 @@ def q_period_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return months.withColumn("conflict_reasons", F.array_join("conflict_reasons", ","))
 
 
+DECIMALS = "1234567890987654321012345678909876543210"  # forty, and more behind them for each pollutant
+
+
+def _long_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records with more than forty decimals behind each number; those of the third pollutant end in zeros."""
+    p = F.substring("row_json_pointer", 31, 1).cast("int").bitwiseAND(6)  # the row of a pollutant is twice its number, and one
+    more = F.concat(F.lit("." + DECIMALS), F.when(p == 4, "500").otherwise((p + 1).cast("string")))
+    step = fixtures.records(spark, sf_dir).drop("value_status").withColumns({
+        "value_raw": F.when(F.col("value_raw").rlike("^[0-9]+$"), F.concat("value_raw", more)).otherwise(F.col("value_raw")), "_yes": F.lit(True)})
+    return with_number(step.drop(*NUMBER_COLUMNS), clean="value_raw", raw="value_raw", present="_yes").drop("_yes")
+
+
+def q_wide_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Resolved months whose numbers have more digits than a fixed width holds."""
+    months = resolve.resolve_months(_long_values(spark, sf_dir), QUARTER)
+    return months.select(*GROUP, "period", "status", "value_decimal", "selected_priority", "source_count")
+
+
+def q_wide_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    native = resolve.summarize_native(_long_values(spark, sf_dir), ONE_YEAR)
+    return native.select(*GROUP, "period_kind", joined("covered_periods"), "status", "value_decimal", "source_count")
+
+
+def _long_sql(number: str) -> str:
+    tail = "CASE pollutant_key WHEN 'code:A21002' THEN '1' WHEN 'code:A21026' THEN '3' WHEN 'code:A99911' THEN '500' ELSE '7' END"
+    return f"CAST(CAST({number} AS BIGINT) AS VARCHAR) || '.{DECIMALS}' || {tail}"
+
+
+WIDE_SQL = oracles.period_months(list(QUARTER.periods)).rsplit("SELECT", 1)[0] + f"""
+SELECT {oracles.GROUP}, 'main_outlet' AS scope, period, status, {_long_sql("value")} AS value_decimal, selected_priority, source_count
+FROM months"""
+
+
 def _native(selection: TimeSelection):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         native = resolve.summarize_native(fixtures.records(spark, sf_dir), selection)
@@ -63,6 +96,10 @@ SELECT {oracles.GROUP}, 'main_outlet' AS scope, period_kind, array_to_string(cov
 FROM vals LEFT JOIN dups USING ({oracles.GROUP}, period_kind, covered)"""
 
 
+WIDE_NATIVE_SQL = f"""SELECT {oracles.GROUP}, scope, period_kind, covered_periods, status, {_long_sql("value")} AS value_decimal, source_count
+FROM ({native_sql(list(ONE_YEAR.periods), True)})"""
+
+
 def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records as a written table, as a run keeps them: several readers, computed once."""
     return materialize(fixtures.records(spark, sf_dir), "records")
@@ -120,6 +157,8 @@ QUERIES = {
     "q_period_summary_cross_year": _summary(CROSS_YEAR),
     "q_period_summary_year": _summary(ONE_YEAR),
     "q_period_months": q_period_months,
+    "q_wide_values": q_wide_values,
+    "q_wide_native": q_wide_native,
     "q_native_summary": _native(ONE_YEAR),
     "q_native_summary_quarter": _native(QUARTER),
     "q_native_summary_partial": _native(PARTIAL),
@@ -133,6 +172,8 @@ ORACLES = {
     "q_period_summary_cross_year": oracles.period_summary(list(CROSS_YEAR.periods), True),
     "q_period_summary_year": oracles.period_summary(list(ONE_YEAR.periods), True),
     "q_period_months": oracles.period_months(_MONTHS),
+    "q_wide_values": WIDE_SQL,
+    "q_wide_native": WIDE_NATIVE_SQL,
     "q_native_summary": native_sql(list(ONE_YEAR.periods), True),
     "q_native_summary_quarter": native_sql(_MONTHS, True),
     "q_native_summary_partial": native_sql(list(PARTIAL.periods), False),

@@ -25,6 +25,10 @@ def annual(total, **more):
     return filing("2024年", "年报", [line(total=total, **more)]), {"report_id": "annual"}
 
 
+LONG = "12345678901234567890.1234567890123456789012345"  # 45 digits
+SMALL = "0." + "0" * 9 + LONG.replace(".", "")
+
+
 CASES = {
     "priority": [month(6, "0.1"), month(7, "0.2"), month(8, "0.3"), quarter(3, firstMonth="9", secondMonth="9")],
     "revision": [month(6, "1"), month(7, "2", "old"), month(7, "3", "new"), month(8, "4"), quarter(3, firstMonth="3", secondMonth="4")],
@@ -38,6 +42,8 @@ CASES = {
     "wide": [month(6, "1e300"), month(7, "1e300"), month(8, "1e-400")],
     "wide clash": [month(6, "1e300"), month(6, "2e300", "other"), month(7, "1"), month(8, "1")],
     "deep clash": [month(6, "1.0000000000000000000000000000000000000000001"), month(6, "1", "other"), month(7, "1"), month(8, "1")],
+    "long": [month(6, LONG), month(7, LONG[:-2] + "0"), month(8, SMALL), quarter(3, firstMonth=LONG + "7", secondMonth="4")],
+    "long clash": [month(6, LONG), month(6, LONG[:-1] + "8", "other"), month(7, LONG), month(8, LONG[:40] + "e5"), annual(LONG)],
     "quarter fills": [month(6, "1"), quarter(3, firstMonth="2", secondMonth="3")],
     "unidentified": [(filing("2024年06月", "月报", [line("1")]), {}), (filing("2024年06月", "月报", [line("9", "DA002"), line("1")]), {}), month(7, "1"), month(8, "1")],
 }
@@ -53,7 +59,8 @@ def records(spark):
 
 @pytest.fixture(scope="module")
 def summary(records):
-    return {k: [r for r in summarize_period(records, SUMMER).collect() if r.enterprise_id == k] for k in CASES}
+    rows = summarize_period(records, SUMMER).collect()
+    return {k: [r for r in rows if r.enterprise_id == k] for k in CASES}
 
 
 def test_complete_sum_prefers_months_and_reports_disagreement(summary):
@@ -99,6 +106,17 @@ def test_values_beyond_fixed_decimals(summary):
     assert g.period_total_decimal == "2.000000000000000000000000000E+300" and g.complete
 
 
+def test_no_digit_is_lost_however_many_there_are(summary, records):
+    (g,) = summary["long"]
+    assert [m.value_decimal for m in g.months] == [LONG, LONG[:-2] + "0", str(Decimal(SMALL))]
+    assert g.period_total_decimal == "24691357802469135780.24691358" and g.months[0].lower_priority_disagreement is False and g.months[1].lower_priority_disagreement
+    (c,) = summary["long clash"]
+    assert [(m.status, m.value_decimal) for m in c.months] == [
+        ("conflict", None), ("selected", LONG), ("selected", str(Decimal(LONG[:40] + "e5")))]
+    (n,) = summarize_native(records.where("enterprise_id = 'long clash'"), SUMMER).collect()
+    assert (n.period_kind, n.status, n.value_decimal) == ("year", "selected", LONG)
+
+
 def test_quarter_fields_fill_months(summary):
     (g,) = summary["quarter fills"]
     assert g.period_total == 6 and [m.selected_priority for m in g.months] == ["month", "quarter", "quarter"]

@@ -48,7 +48,7 @@ def test_decimal_text_and_parts_agree_with_decimal_arithmetic(spark):
 
 def test_decimal_sums_are_exact_and_wide_ones_rounded_like_decimals(spark):
     cases = [["0.1", "0.2", "0.3"], ["1.50", "1.50"], ["1e300", "1"], ["0", "0.00"], ["9" * 27, "0.5"], ["1e-7", "1e-7"], ["1E+3", "2"], ["5"],
-             ["0.000000000000000001", "12345678"]]
+             ["0.000000000000000001", "12345678"], ["0.1"] * 1000, ["9" * 16 + "." + "9" * 9] * 1001, ["9" * 17 + ".5"] * 101, ["9" * 38 + "1", "1"]]
     for _ in range(150):
         cases.append([str(Decimal(random.randrange(10 ** random.randrange(1, 30))).scaleb(random.randrange(-25, 10))) for _ in range(random.randrange(1, 6))])
     df = spark.createDataFrame([(i, j, t) for i, c in enumerate(cases) for j, t in enumerate(c)], "i int, j int, t string").withColumn("p", F.lit(True))
