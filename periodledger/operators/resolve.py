@@ -135,7 +135,8 @@ _MONTH_FIELDS = [f.split(":")[0] for f in (
 
 def _with_long_numbers() -> str:
     """SQL: ``found`` with the whole text of selected values whose digits are listed in ``_wides``."""
-    same = "w.wide_period = m.period and w.wide_tier = if(m.selected_priority = 'month', 1, 2)"
+    same = ("w.slot = (cast(left(m.period, 4) as int) * 12 + cast(right(m.period, 2) as int)) * 2"
+            " + if(m.selected_priority = 'month', 0, 1)")
     text = wide_text_sql("w.wide", "m.value_exp", "m.value_scale")
     whole = f"if(m.status = 'selected', get(transform(filter(_wides, w -> {same}), w -> {text}), 0), null)"
     fields = ", ".join(f"'{f}', " + (f"coalesce({whole}, m.{f})" if f == "value_decimal" else f"m.{f}") for f in _MONTH_FIELDS)
@@ -160,20 +161,21 @@ def _months_of_groups(requested: DataFrame, selection: TimeSelection) -> DataFra
     return resolved.withColumn("selected_priority", priority)
 
 
-_WIDE = ["wide_period", "wide_tier", "wide"]
-
-
-def _descriptions(requested: DataFrame, extra: list[str]) -> DataFrame:
-    """Distinct descriptions of each group with the first year they are reported in, and the valid values with more digits
-    than ``value_digits`` holds: ``wide`` with its month and tier, all NULL for the other rows.
+def _descriptions(requested: DataFrame, extra: list[str], slot: Column) -> DataFrame:
+    """Distinct descriptions of each group with the first year they are reported in, and apart from them the valid values that
+    have more digits than ``value_digits`` holds: ``wide``, and the place ``slot`` says they compete for (NULL: none).
 
     A hash aggregate that merges nearly everything map-side, so little of it is shuffled.
     """
-    wide = F.when(_valid(), wide_digits("value_decimal"))
-    month = F.get(P.covered_periods(F.col("year"), F.col("period_kind"), F.col("month"), F.col("report_quarter")), 0)
-    keyed = with_group_key(requested).withColumns({
-        "wide": wide, "wide_tier": F.when(wide.isNotNull(), _tier()), "wide_period": F.when(wide.isNotNull(), month)})
-    return keyed.groupBy(*GROUP_KEY, *extra, *DESCRIPTION, *_WIDE).agg(F.coalesce(F.min("year"), F.lit(9999)).alias("first_year"))
+    keyed = with_group_key(requested).withColumn("wide", F.when(_valid() & slot.isNotNull(), wide_digits("value_decimal")))
+    keyed = keyed.withColumn("slot", F.when(F.col("wide").isNotNull(), slot))
+    return keyed.groupBy(*GROUP_KEY, *extra, *DESCRIPTION, "slot", "wide").agg(F.coalesce(F.min("year"), F.lit(9999)).alias("first_year"))
+
+
+def _month_slot() -> Column:
+    """A month and, of its two tiers, the one a record competes in."""
+    tier = F.when(F.col("report_type") == "month", 0).when(F.col("report_type") == "quarter", 1)
+    return F.when(F.col("period_kind") == "month", (F.col("year") * 12 + F.col("month")) * 2 + tier)
 
 
 _D = "struct<first_year:int," + ",".join(f"{c}:string" for c in DESCRIPTION) + ">"
@@ -197,9 +199,9 @@ def summarize_period(records: DataFrame, selection: TimeSelection) -> DataFrame:
     months = _months_of_groups(requested, selection).select(
         *GROUP_KEY, F.struct(*_MONTH_FIELDS).cast(_MONTH).alias("m"), _undescribed())
     # Several long numbers of a month and tier are a conflict: only a single one is kept.
-    described = _descriptions(requested, []).withColumn("d", _described()).groupBy(*GROUP_KEY, "wide_period", "wide_tier").agg(
+    described = _descriptions(requested, [], _month_slot()).withColumn("d", _described()).groupBy(*GROUP_KEY, "slot").agg(
         F.min("d").alias("d"), F.min("wide").alias("wide"), F.max("wide").alias("_other"))
-    described = described.select(*GROUP_KEY, "d", F.when(F.col("wide") == F.col("_other"), F.struct(*_WIDE)).alias("w"))
+    described = described.select(*GROUP_KEY, "d", F.when(F.col("wide") == F.col("_other"), F.struct("slot", "wide")).alias("w"))
     groups = months.unionByName(described, allowMissingColumns=True).groupBy(*GROUP_KEY).agg(
         F.min("d").alias("d"),
         # At most one entry per requested month and two long numbers, so the lists are bounded by the request.
@@ -269,7 +271,7 @@ def summarize_native(records: DataFrame, selection: TimeSelection) -> DataFrame:
         *_pool("", F.col("tier").isNotNull()))
     totals = _verdict(totals.withColumn("n_valid", F.coalesce("_n", F.lit(0))), None)
     fields = ["status", "value", "value_decimal", "conflict_reasons", "candidate_count", "source_count"]
-    described = _descriptions(native, ["period_kind", "first_period"])
+    described = _descriptions(native, ["period_kind", "first_period"], F.lit(0))
     resolved = [*fields, "value_exp", "value_scale"]
     united = totals.select(*keys, *resolved, _undescribed()).unionByName(
         described.select(*keys, _described(), "wide"), allowMissingColumns=True)
