@@ -76,6 +76,27 @@ def _clean_strings(batch: pa.Array) -> pa.Array:
     return pa.array([None if t is None else clean_python(t) for t in batch.to_pylist()], pa.string())
 
 
+@F.arrow_udf(T.StringType())
+def _unescape(batch: pa.Array) -> pa.Array:
+    if batch.null_count == len(batch):
+        return pa.nulls(len(batch), pa.string())
+    return pa.array([None if t is None else html.unescape(t) for t in batch.to_pylist()], pa.string())
+
+
+# The entities that are decoded without Python, the ampersand last.
+_COMMON_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+_OTHER_ENTITY = "&(?!(" + "|".join(name[1:-1] for name, _ in _COMMON_ENTITIES) + ");)[#A-Za-z]"
+
+
+def decode_entities(text: Column) -> Column:
+    """Every character reference decoded once, as HTML does: named, decimal and hexadecimal, also without a semicolon where
+    that is allowed. Only texts with others than the six common ones go to Python; no-break spaces become either kind of space."""
+    common = text
+    for name, char in _COMMON_ENTITIES:
+        common = F.replace(common, F.lit(name), F.lit(char))
+    return F.coalesce(_unescape(F.when(text.rlike(_OTHER_ENTITY), text)), common)
+
+
 @F.arrow_udf(T.StringType())
 def _clean_lists(batch: pa.Array) -> pa.Array:
     """Lists travel as JSON text: a list-typed UDF input costs some 30 microseconds per row in

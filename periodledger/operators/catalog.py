@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from periodledger import vocab
-from periodledger.functions.text import clean_text, trim_space
+from periodledger.functions.text import clean_text, decode_entities, trim_space
 
 CATALOG_KEY = ["permit_code", "enterprise_id"]
 
@@ -14,13 +14,11 @@ CATALOG_KEY = ["permit_code", "enterprise_id"]
 # --- pages -----------------------------------------------------------------------------
 
 def html_text(html: Column) -> Column:
-    """Visible text: script and style blocks dropped, tags to spaces, white space collapsed."""
+    """Visible text: script and style blocks dropped, tags to spaces, entities decoded, white space collapsed."""
     text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " ")
     text = F.regexp_replace(text, r"(?s)<!--.*?-->", " ")
     text = F.regexp_replace(text, r"<[^>]*>", " ")
-    for entity, char in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(decode_entities(text), r"(?U)\s+", " "))
 
 
 def html_links(html: Column) -> Column:

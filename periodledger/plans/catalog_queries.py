@@ -28,12 +28,13 @@ def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog rows as archived: ten suppliers to a page; some repeated on the next page, some
-    left out, the page count of some searches changing."""
+    listed a page too late, the page count of some searches changing."""
     k = F.col("k")
-    s = _suppliers(spark, sf_dir).where(k % 37 != 5)
-    page = ((k % SEARCH) / 10).cast("int") + 1
-    spot = F.struct(page.alias("page"), (k % 10).cast("int").alias("pos"))
-    again = F.struct((page + 1).alias("page"), F.lit(10).alias("pos"))
+    s = _suppliers(spark, sf_dir)
+    late = k % 37 == 5
+    page = ((k % SEARCH) / 10).cast("int") + 1 + late.cast("int")
+    spot = F.struct(page.alias("page"), F.when(late, k % 10 + 11).otherwise(k % 10).cast("int").alias("pos"))
+    again = F.struct((page + 1).alias("page"), F.when(late, 30).otherwise(10).alias("pos"))
     rows = s.select("*", F.explode(F.when(k % 17 == 0, F.array(spot, again)).otherwise(F.array(spot))).alias("x"))
     rows = rows.select("*", "x.page", "x.pos", F.expr(f"cast(k div {SEARCH} as bigint)").alias("search")).drop("x")
     ends = rows.groupBy("search").agg(F.max("page").alias("last"))
@@ -48,9 +49,10 @@ def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CATALOG = f"""
 sup AS (
-  SELECT s_suppkey AS k, r_name AS province, n_name AS city, s_suppkey // {SEARCH} AS search, (s_suppkey % {SEARCH}) // 10 + 1 AS page, s_suppkey % 10 AS pos
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE s_suppkey % 37 <> 5),
-listed AS (SELECT * FROM sup UNION ALL SELECT k, province, city, search, page + 1, 10 FROM sup WHERE k % 17 = 0),
+  SELECT s_suppkey AS k, r_name AS province, n_name AS city, s_suppkey // {SEARCH} AS search, s_suppkey % 37 = 5 AS late,
+         (s_suppkey % {SEARCH}) // 10 + CASE WHEN late THEN 2 ELSE 1 END AS page, s_suppkey % 10 + CASE WHEN late THEN 11 ELSE 0 END AS pos
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+listed AS (SELECT * FROM sup UNION ALL SELECT k, province, city, search, late, page + 1, CASE WHEN late THEN 30 ELSE 10 END FROM sup WHERE k % 17 = 0),
 cat AS (
   SELECT *, max(page) OVER (PARTITION BY search) + CASE WHEN search % 3 = 1 AND page = 2 THEN 1 ELSE 0 END AS total_pages,
          'P' || k AS permit_code, 'Plant ' || (k - CASE WHEN k % 11 = 1 THEN 1 ELSE 0 END) AS name, md5(CAST(k AS VARCHAR)) AS enterprise_id
@@ -246,6 +248,8 @@ def q_index_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 COVER_SQL = "WITH " + INDEX + f""",
 ent AS (SELECT DISTINCT s_suppkey // 5 AS e FROM supplier), yr AS (SELECT unnest([1998, 1999]) AS year)
 SELECT 'E' || ent.e AS enterprise_id, 'P' || ent.e AS permit_code, CAST(year AS INT) AS year, count(cls.e) AS index_reports,
+       count(bad) AS unreadable_reports, count(*) FILTER (bad IS NULL AND index_year <> y) AS misfiled_reports,
+       CASE WHEN count(bad) > 0 THEN 'unreadable_periods' WHEN count(*) FILTER (index_year <> y) > 0 THEN 'misfiled_reports' ELSE 'ok' END AS status,
        count(*) FILTER (list_has_any(periods, {sql_list(["1998-11", "1998-12", "1999-01"])})) AS relevant_reports,
        CASE year WHEN 1998 THEN '1998-11,1998-12' ELSE '1999-01' END AS requested_periods
 FROM ent CROSS JOIN yr LEFT JOIN cls ON cls.e = ent.e AND cls.index_year = year GROUP BY ent.e, year"""
@@ -253,10 +257,10 @@ FROM ent CROSS JOIN yr LEFT JOIN cls ON cls.e = ent.e AND cls.index_year = year
 
 def q_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The coverage row of a run over all reports; every eleventh enterprise has one report in
-    a format that cannot be read."""
+    a format that cannot be read, and some index entries name no period or stand under another year."""
     records = materialize(requested_rows(fixtures.records(spark, sf_dir), QUARTER), "records")
-    index = with_report_period(fixtures.index_entries(spark, sf_dir)).where(F.col("period_error").isNull())
-    unreadable = (F.substring("enterprise_id", 2, 20).cast("bigint") % 11 == 0) & (F.col("type") == "年报")
+    index = with_report_period(fixtures.index_entries(spark, sf_dir))
+    unreadable = F.col("period_error").isNotNull() | (F.substring("enterprise_id", 2, 20).cast("bigint") % 11 == 0) & (F.col("type") == "年报")
     manifest = index.select("report_id", F.when(unreadable, "unsupported_or_invalid").otherwise("downloaded").alias("status"))
     enterprises = _enterprises(spark, sf_dir)
     row = coverage(
@@ -268,19 +272,21 @@ def q_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _coverage_sql() -> str:
     periods = list(QUARTER.periods)
     return "WITH " + oracles.resolved_months(periods) + ", s AS (" + oracles.period_summary(periods, True) + "), nat AS (" + native_sql(periods, True) + "), i AS (" \
-        "WITH " + INDEX + """ SELECT count(*) AS n, count(*) FILTER (NOT (e % 11 = 0 AND t = 'year')) AS d FROM cls WHERE bad IS NULL),
+        "WITH " + INDEX + """ SELECT count(*) AS n, count(*) FILTER (bad IS NULL AND NOT (e % 11 = 0 AND t = 'year')) AS d,
+             count(*) FILTER (index_year = 1997 AND (bad IS NOT NULL OR index_year <> y)) AS wrong,
+             count(DISTINCT e) FILTER (index_year = 1997 AND (bad IS NOT NULL OR index_year <> y)) AS unread FROM cls),
 ent AS (SELECT count(DISTINCT s_suppkey // 5) AS n FROM supplier),
 w AS (SELECT count(*) FILTER (period_kind = 'month') AS m, count(*) FILTER (period_kind <> 'month') AS x,
              count(*) FILTER (period_kind = 'month' AND num IS NULL) AS z FROM wanted),
 g AS (SELECT count(*) AS n, count(*) FILTER (status = 'complete') AS c, count(*) FILTER (status = 'conflict') AS f,
              count(*) FILTER (lower_priority_disagreement) AS l FROM s),
 v AS (SELECT count(*) AS n, count(*) FILTER (status = 'selected' AND exactly_matches_request) AS x FROM nat)
-SELECT ent.n AS enterprises, ent.n AS indexes_completed, i.n AS reports_requested, i.d AS reports_downloaded, i.n - i.d AS reports_unsupported,
+SELECT ent.n AS enterprises, ent.n - i.unread AS indexes_completed, CAST(i.wrong AS BIGINT) AS index_errors, i.n AS reports_requested, i.d AS reports_downloaded, i.n - i.d AS reports_unsupported,
        w.m AS air_monthly_rows, w.x AS air_native_period_rows, w.z AS monthly_missing_or_invalid_rows, CAST(0 AS BIGINT) AS unknown_or_conflicting_unit_rows,
        g.n AS period_groups, g.c AS period_complete_groups, g.f AS period_conflict_groups, g.l AS monthly_vs_quarterly_disagreement_groups,
        g.n - g.c AS period_incomplete_groups, v.n AS native_period_groups, v.x AS native_exact_request_groups,
        false AS selected_identity_discovery_complete, 'region' AS mode, true AS whole_months, '1997-04,1997-05,1997-06' AS requested_periods,
-       i.n = i.d AS report_acquisition_complete_for_selected, false AS geographic_completeness, false AS historical_all_permit_enterprises_complete
+       i.n = i.d AND i.unread = 0 AS report_acquisition_complete_for_selected, false AS geographic_completeness, false AS historical_all_permit_enterprises_complete
 FROM ent, i, w, g, v"""
 
 

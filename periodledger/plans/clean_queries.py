@@ -63,7 +63,8 @@ def q_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 PAGE_TEXT_SQL = r"""
 WITH a AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?is)<style\b.*?</style\s*>', ' ', 'g') AS t FROM pages),
 b AS (SELECT page_id, regexp_replace(regexp_replace(t, '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g') AS t FROM a),
-c AS (SELECT page_id, replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') AS t FROM b),
+b1 AS (SELECT page_id, regexp_replace(replace(replace(t, '&copy;', '©'), '&middot;', '·'), '&amp($|[^;])', '&amp;\1', 'g') AS t FROM b),
+c AS (SELECT page_id, replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') AS t FROM b1),
 d AS (SELECT page_id, trim(regexp_replace(t, '\s+', ' ', 'g')) AS t FROM c)
 SELECT page_id, CAST(length(t) AS INT) AS n_chars, sha256(t) AS text_sha FROM d"""
 

@@ -1,7 +1,7 @@
 import pytest
 
 from periodledger.operators.catalog import (
-    audit_pages, catalog_from_pages, dedupe_catalog, discovery_ledger, filter_district, resolve_identities, with_facility)
+    audit_pages, catalog_from_pages, dedupe_catalog, discovery_ledger, filter_district, html_text, resolve_identities, with_facility)
 from periodledger.operators.coverage import coverage, index_coverage
 from periodledger.operators.timeselect import select_time, with_report_period
 
@@ -95,6 +95,24 @@ def test_links_as_html_writes_them(spark):
     assert rejects.isEmpty()
 
 
+def test_index_errors_are_counted_and_leave_an_index_incomplete(spark):
+    selection = select_time(years=[2023])
+    ents = spark.createDataFrame([(e, "P") for e in ("fine", "unread", "misfiled")], "enterprise_id string, permit_code string")
+    entries = [("fine", 2023, "2023年05月", "月报"), ("unread", 2023, "2023年13月", "月报"), ("unread", 2023, "later", "月报"),
+               ("unread", 2023, "2023年06月", "月报"), ("misfiled", 2023, "2022年12月", "月报")]
+    index = with_report_period(spark.createDataFrame(entries, "enterprise_id string, index_year int, report_time string, type string"))
+    got = {r.enterprise_id: (r.index_reports, r.relevant_reports, r.unreadable_reports, r.misfiled_reports, r.status)
+           for r in index_coverage(ents, index, selection).collect()}
+    assert got == {"fine": (1, 1, 0, 0, "ok"), "unread": (3, 1, 2, 0, "unreadable_periods"), "misfiled": (1, 0, 0, 1, "misfiled_reports")}
+
+
+def test_page_text_decodes_every_entity_once(spark):
+    pages = ["<p>a &amp;lt; b &#233;&#xE9; &copy 2024&nbsp;&nbsp;x</p>", "&am & &; &#39;q&#39;", "&lt;b&gt; &notit; &hearts;", "plain", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(pages)], "i int, h string")
+    got = {r.i: r.t for r in df.select("i", html_text(df.h).alias("t")).collect()}
+    assert got == {0: "a &lt; b éé © 2024 x", 1: "&am & &; 'q'", 2: "<b> ¬it; ♥", 3: "plain", 4: None}
+
+
 def test_coverage_of_nothing_is_not_success(spark):
     selection = select_time(years=[2023, 2024])
     ents = spark.createDataFrame([], "enterprise_id string, permit_code string")
