@@ -65,15 +65,15 @@ def check_totals(summary: DataFrame, selection: TimeSelection) -> DataFrame:
     whole = (periods == selection.array()) & F.forall("months", lambda m: m["status"] == "selected") & F.lit(selection.whole_months)
     values = F.expr("transform(months, m -> named_struct('digits', m.value_digits, 'exp', m.value_exp,"
                     " 'scale', m.value_scale, 'text', m.value_decimal))")
-    step = summary.withColumns({"_whole": whole, "_values": values})
-    step = with_decimal_sum(step, "_values", F.col("_whole"), "_sum")
+    step = summary.withColumns({"_all_months": whole, "_values": values})
+    step = with_decimal_sum(step, "_values", F.col("_all_months"), "_sum")
     amount = lambda c: F.col(c).try_cast("decimal(38,18)")
     exact = F.coalesce(amount("_sum") == amount("period_total_decimal"),
                        F.col("_sum").cast("double") == F.col("period_total_decimal").cast("double"), F.lit(False))
     shown = F.coalesce(F.col("period_total") == F.col("period_total_decimal").cast("double"), F.lit(False))
     kind = (
         F.when(~F.col("complete"), F.when(F.col("period_total").isNotNull(), "incomplete_nonnull_total"))
-        .when(~F.col("_whole"), "months").when(~exact | ~shown, "total_arithmetic")
+        .when(~F.col("_all_months"), "months").when(~exact | ~shown, "total_arithmetic")
     )
     key = F.concat_ws("|", "enterprise_id", "permit_code", "pollutant_key", "scope", "outlet_key", F.coalesce("unit", F.lit("")))
     judged = fence(step.withColumns({"kind": kind, "key": key}), ["kind", "key"], [])
