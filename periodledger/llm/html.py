@@ -8,7 +8,9 @@ columns. Nothing is judged boilerplate: all visible text is kept, also the optio
 of a drawing (options and labels on lines of their own). What an attribute shows (alternative texts, values, labels of option
 groups) is not text of the page here.
 
-Tree and walk use lists, not recursion, so depth is not limited.
+Tree and walk use lists, not recursion, so depth is not limited. Reading a page takes time in proportion to its length,
+whatever is left open: the tags are found in one pass, and each element knows what a start tag within it would end. Lines are
+indented by ``INDENT`` blanks at most and cells padded to ``PAD`` at most; deeper lists and wider cells are whole, but not aligned.
 
 Defined results: a null or empty page has the empty text and counts 0; text outside of any element is visible; an unclosed
 tag at the end of a page is dropped, a lone ``<`` is text; repeated rows are rendered alike; input columns named like a
@@ -43,19 +45,95 @@ LIMITS = frozenset("table td th caption button object template".split())  # an o
 FOREIGN = frozenset("svg math".split())
 HEAD_ONLY = frozenset("title meta link base style script noscript template".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
+_NAME_END = re.compile(r"[\s/>]")
+_SPECIAL = re.compile(r"[>\"']")
+# Which elements a start tag looks for and where it stops looking, by group; and the group of a start tag.
+_REACHES = {**{name: (frozenset(names), frozenset(beyond)) for name, (names, beyond) in CLOSES.items()}, "p": (frozenset({"p"}), LIMITS)}
+_GROUPS = tuple(_REACHES)
+_MATTERS = frozenset().union(*(names | beyond for names, beyond in _REACHES.values()))
+INDENT = 64
+PAD = 160
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
+class Tags:
+    """Tags, comments and declarations of a page, in one forward pass.
+
+    A tag ends at the first ``>`` outside of quotes. Where none follows, that is remembered for each quote and ``>`` met on
+    the way, so that no part of the page is read again for every ``<`` before it.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.last = html, html.rfind(">")
+        self.dead: set[int] = set()
+        self.special = self.name_end = -1
+
+    def after(self, at: int) -> tuple[int, int, bool, str | None, str] | None:
+        """The next one from ``at``: first and last place + 1, whether an end tag, name (None if no tag), attributes."""
+        html, size = self.html, len(self.html)
+        at = html.find("<", at)
+        while 0 <= at < size - 1:
+            then = html[at + 1]
+            if html.startswith("<!--", at):
+                stop = html.find("-->", at + 4)
+                return at, stop + 3 if stop >= 0 else size, False, None, ""
+            if self.last < at:
+                at = self._comment(at)
+                return (at, size, False, None, "") if at >= 0 else None
+            if then in "!?":
+                return at, html.find(">", at + 2) + 1, False, None, ""
+            first = at + 1 + (then == "/")
+            if first < size and html[first].isascii() and html[first].isalpha():
+                if self.name_end < first:
+                    self.name_end = _NAME_END.search(html, first).start()  # there is a > beyond
+                stop = self._end(self.name_end)
+                if stop >= 0:
+                    return at, stop + 1, then == "/", html[first:self.name_end], html[self.name_end:stop]
+            at = html.find("<", at + 1)
+        return None
+
+    def _comment(self, at: int) -> int:
+        """Behind the last ``>`` only an unclosed comment is a token."""
+        return self.html.find("<!--", at)
+
+    def _end(self, at: int) -> int:
+        """The place of the ``>`` that ends a tag, from a place outside of quotes; -1 if none does."""
+        html, seen = self.html, []
+        if self.special < at:
+            found = _SPECIAL.search(html, at)
+            self.special = found.start() if found else len(html)
+        place = self.special
+        while place < len(html) and place not in self.dead:
+            mark = html[place]
+            if mark == ">":
+                return place
+            seen.append(place)
+            place = html.find(mark, place + 1)
+            if place < 0:
+                break
+            found = _SPECIAL.search(html, place + 1)
+            if found is None:
+                break
+            place = found.start()
+        self.dead.update(seen)
+        return -1
+
+
 class Node:
-    __slots__ = ("name", "attributes", "children", "up", "foreign")
+    __slots__ = ("name", "attributes", "children", "up", "foreign", "reach")
 
     def __init__(self, name: str, attributes: str = "", up: Node | None = None):
         self.name, self.attributes, self.children, self.up = name, attributes, [], up
         # In SVG and MathML a slash closes an element.
         self.foreign = name in FOREIGN or up is not None and up.foreign and name != "foreignobject"
+        # For each group of ``_REACHES`` the outermost open element that a start tag in here would end.
+        self.reach = up.reach if up is not None else (None,) * len(_GROUPS)
+        if name in _MATTERS:
+            self.reach = tuple(
+                None if name in beyond else self if outer is None and name in names else outer
+                for outer, (names, beyond) in zip(self.reach, _REACHES.values()))
 
     def attribute(self, wanted: str) -> str | None:
         for name, value in _ATTRIBUTE.findall(self.attributes):
@@ -74,20 +152,24 @@ class Node:
 
 def parse(html: str) -> Node:
     """The tree of a page under a nameless root."""
-    root = Node("")
+    root, tags = Node(""), Tags(html)
     here, at, end = root, 0, len(html)
+    opened: dict[str, int] = {}  # how many elements of a name are open
+
+    def leave(node: Node) -> Node:
+        inner = here
+        while inner is not node:
+            opened[inner.name] -= 1
+            inner = inner.up
+        return node
 
-    def close(names, beyond) -> Node:
-        """The node to go on in after ending the outermost open element of ``names`` this side of ``beyond``."""
-        node, found = here, None
-        while node is not root and node.name not in beyond:
-            if node.name in names:
-                found = node
-            node = node.up
-        return found.up if found is not None else here
+    def close(group: str) -> Node:
+        """The node to go on in after ending the outermost open element that the group's start tags end."""
+        found = here.reach[_GROUPS.index(group)]
+        return leave(found.up) if found is not None else here
 
     while at < end:
-        token = _TOKEN.search(html, at)
+        token = tags.after(at)
         if token is None:
             rest = html[at:]
             lone = re.search(r"<[/a-zA-Z!?]", rest)
@@ -95,34 +177,34 @@ def parse(html: str) -> Node:
             if rest:
                 here.children.append(rest)
             break
-        if token.start() > at:
-            text = html[at:token.start()]
+        start, stop, ends, name, attributes = token
+        if start > at:
+            text = html[at:start]
             if here.name == "head" and text.strip():
-                here = here.up
+                here = leave(here.up)
             here.children.append(text)
-        at = token.end()
-        name = token.group(2)
+        at = stop
         if name is None:
             continue
         name = name.lower()
-        if token.group(1):
-            node = here
-            while node is not root and node.name != name:
-                node = node.up
-            if node is not root:
-                here = node.up
+        if ends:
+            if opened.get(name):
+                node = here
+                while node.name != name:
+                    node = node.up
+                here = leave(node.up)
             elif name == "br":
                 here.children.append(Node("br", "", here))
             continue
         if here.name == "head" and name not in HEAD_ONLY:
-            here = here.up
+            here = leave(here.up)
         if name in ENDS_P:
-            here = close({"p"}, LIMITS)
+            here = close("p")
         if name in CLOSES:
-            here = close(*CLOSES[name])
-        node = Node(name, token.group(3), here)
+            here = close(name)
+        node = Node(name, attributes, here)
         here.children.append(node)
-        if node.foreign and token.group(3).endswith("/"):
+        if node.foreign and attributes.endswith("/"):
             continue
         if name in RAW:
             stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
@@ -130,6 +212,7 @@ def parse(html: str) -> Node:
             at = stop.end() if stop else end
         elif name not in VOID:
             here = node
+            opened[name] = opened.get(name, 0) + 1
     return root
 
 
@@ -167,7 +250,7 @@ class Lines:
             if self.gap and self.done:
                 self.done.append("")
             self.gap = False
-            self.line.append(" " * max(0, self.indent - len(self.mark)) + self.mark)
+            self.line.append(" " * max(0, min(self.indent, INDENT) - len(self.mark)) + self.mark)
             self.mark = ""
         elif self.blank:
             self.line.append(" ")
@@ -189,7 +272,7 @@ class Lines:
 
 
 def _table(rows: list[list[str]]) -> list[str]:
-    widths = [max((len(r[i]) for r in rows if i < len(r)), default=0) for i in range(max(map(len, rows), default=0))]
+    widths = [min(PAD, max((len(r[i]) for r in rows if i < len(r)), default=0)) for i in range(max(map(len, rows), default=0))]
     return [" | ".join(cell.ljust(width) for cell, width in zip(row, widths)).rstrip() for row in rows if any(row)]
 
 
