@@ -27,17 +27,17 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from .common import add_in_arrow
+from .common import add_in_arrow, held
 from .remembered import Remembered
 from .words import buffers, span_hashes
 
 # Fixed value: the pre-token pattern of byte-level BPE.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SIDE = 33
-TREES = 16_384
-WINDOW = 1 << 21
+TREES = 4_096
+WINDOW = 1 << 20
 ROWS = 500
-BATCH = 2000
+BATCH = 1000
 PRETOKENS = 150_000
 _NONE = 1 << 62
 _PLAIN = re.compile(rb" ?[A-Za-z]+")  # one pre-token, whatever follows the cut behind it
@@ -285,14 +285,9 @@ class Vocabulary:
         return self.remembered.look_up(span_hashes(data, edges), make)
 
 
-_loaded: dict[int, Vocabulary] = {}
-
-
 def _vocabulary(shared) -> Vocabulary:
-    if shared.value[0] not in _loaded:
-        _loaded.clear()
-        _loaded[shared.value[0]] = Vocabulary(shared.value[1])
-    return _loaded[shared.value[0]]
+    name, text = shared.value
+    return held(f"bpe-{name}", lambda: Vocabulary(text))
 
 
 def _shared(df: DataFrame, vocabulary: str | None):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,6 +60,29 @@ def add_in_arrow(df: DataFrame, ddl: str, make: Callable[[pa.RecordBatch], list[
     return df.mapInArrow(run, schema)
 
 
+_held: dict[str, Any] = {}
+
+
+def held(name: str, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task under a name. It keeps one thing at a time: workers are used again by
+    whatever runs next on their executor, so what the operator before kept goes first."""
+    if name not in _held:
+        let_go()
+        _held[name] = make()
+    return _held[name]
+
+
+def let_go() -> None:
+    """Frees what an operator that ran here before still keeps."""
+    if _held:
+        _held.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # GNU C library: freed memory goes back to the system
+    if trim is not None:
+        trim(0)
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop shuffle files of finished steps now instead of at some later collection."""
     gc.collect()

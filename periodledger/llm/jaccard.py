@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..sources.scratch import materialize
-from .common import release
+from .common import let_go, release
 from .words import buffers, mix, ranges, words
 
 SHINGLE = 5
@@ -150,6 +150,7 @@ def signatures(shingles: np.ndarray, first: np.ndarray, which: np.ndarray) -> tu
 
 
 def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     for batch in batches:
         data, offsets = buffers(batch.column(1))
         for lo, hi in ranges(offsets):
@@ -178,6 +179,7 @@ def _new_sets(keys: np.ndarray, wanted: np.ndarray, seen: set[int]) -> np.ndarra
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     seen: set[int] = set()
     for batch in batches:
         data, offsets = buffers(batch.column(0))
@@ -299,6 +301,7 @@ def _slots(bits: int):
 
 def _passing(passed, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         field, seen = passed.value, set()
         for batch in batches:
             data, offsets = buffers(batch.column(1))

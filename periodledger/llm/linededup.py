@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
+from .common import held, let_go
 from .words import BLANK, LOWER, buffers, mix, ranges, span_hashes
 
 MIN_DOCS = 3
@@ -36,7 +37,8 @@ SHARD = 1 << 16
 MAX_BROADCAST = 128 << 20
 NOBODY = -(1 << 63)
 ROWS_A_SALT = 100_000
-PIECE = 1 << 22
+PIECE = 1 << 20
+ROWS = 2_000
 
 
 def lines_of(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, ...]:
@@ -71,6 +73,7 @@ def lines_of(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int) -> tuple[n
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     for batch in batches:
         data, offsets = buffers(batch.column(1))
         for lo, hi in _runs(offsets):
@@ -218,15 +221,9 @@ def _rebuilt(column: pa.Array, data, offsets, cuts: list) -> tuple[pa.Array, pa.
     return pa.array(kept, pa.binary()).cast(pa.string()), pa.array(lines), pa.array(gone)
 
 
-_open: dict[str, dict[int, Shard]] = {}
-
-
 def _shards(shared) -> dict[int, Shard]:
     name, rows = shared.value
-    if name not in _open:
-        _open.clear()
-        _open[name] = {number: Shard(*parts) for number, *parts in rows}
-    return _open[name]
+    return held(f"lines-{name}", lambda: {number: Shard(*parts) for number, *parts in rows})
 
 
 def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, shard: int = SHARD, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
@@ -249,7 +246,7 @@ def _probe_here(docs: DataFrame, shared, count: int) -> DataFrame:
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(i, ROWS) for whole in batches for i in range(0, max(whole.num_rows, 1), ROWS)):
             text, ids = batch.column(names.index("text")), _numbers(batch.column(names.index("doc_id")))
             data, offsets = buffers(text)
             cuts = []

@@ -30,7 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import add_in_arrow
+from .common import add_in_arrow, held
 from .remembered import Remembered
 from .words import buffers, mix, span_hashes
 
@@ -280,14 +280,9 @@ class Model:
             return pa.array([x.as_py().decode("utf-8", "each_byte") for x in joined], pa.string())
 
 
-_loaded: dict[int, Model] = {}
-
-
 def _model(shared) -> Model:
-    if shared.value[0] not in _loaded:
-        _loaded.clear()
-        _loaded[shared.value[0]] = Model(shared.value[1])
-    return _loaded[shared.value[0]]
+    name, data = shared.value
+    return held(f"pieces-{name}", lambda: Model(data))
 
 
 def _shared(df: DataFrame, model: str | None):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_in_arrow, crc_fold
+from .common import add_in_arrow, crc_fold, let_go
 from .words import buffers, mix, ranges, spans, words
 
 MAX_DOCS = 10_000
@@ -215,6 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars:
 
 
 def _score_batch(shared, batch: pa.RecordBatch) -> list[pa.Array]:
+    let_go()
     scores = shared.value.score(batch.column(batch.schema.names.index("text")))
     return [pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))]
 

@@ -14,7 +14,7 @@ import xxhash
 from oracle_compare import compare, connect
 from pyspark.sql import functions as F
 
-from periodledger.llm import bpe, classlm, html, jaccard, licenses, linededup, mixing, quality, queries, sketch, toxicity
+from periodledger.llm import bpe, classlm, common, html, jaccard, licenses, linededup, mixing, quality, queries, sketch, toxicity
 from periodledger.llm.words import buffers, ranges, words
 
 DIR = "/root/testdata/sf0.001"
@@ -462,3 +462,47 @@ def test_html_forms_formulas_and_drawings(spark):
             "<svg><title/><desc>no</desc><metadata>no</metadata><circle r=1 /><text>left</text><g/><text>right</text><title>no</title><style>no</style></svg>tail<datalist><option>no</datalist>")
     text, _, _ = html.render(html.parse(page))
     assert text.split("\n") == ["Pick", "Red", "Blue", "now", "", "x=2", "left", "right", "tail"]
+
+
+# Odd pages whose open ends once were read again from every tag; each must take time in proportion to its length.
+OPEN_ENDS = {
+    "no end": "<a " * 30_000, "one quote": "<a " * 30_000 + '">', "two quotes": "<a '\"" * 30_000 + ">", "quoted tail": "<a " * 30_000 + "'a' " * 30_000 + '"',
+    "names": "<a" * 30_000 + ' "', "ends without start": "<div>" * 20_000 + "</q>" * 20_000, "open paragraph": "<p><button>" + "<div>" * 30_000,
+    "far items": "<ul><li>" + "<div>" * 20_000 + "<li>" * 20_000, "wide cell": "<table>" + "<tr><td>a<td>b" * 5_000 + "<tr><td>" + "w" * 100_000 + "<td>z</table>",
+}
+
+
+@pytest.mark.parametrize("case", OPEN_ENDS)
+def test_html_open_ends_take_linear_time(case):
+    began = time.perf_counter()
+    text, _, _ = html.render(html.parse(OPEN_ENDS[case]))
+    assert time.perf_counter() - began < 10 and len(text) < 20 * len(OPEN_ENDS[case])
+
+
+def test_html_tags_against_a_pattern():
+    tag = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>", re.S)
+    draw = np.random.default_rng(5)
+    parts = ["<a", "</a", "<", ">", "'", '"', " x=", "<!--", "-->", "<!d", "<?", "/", " ", "text", "\n"]
+    for _ in range(20_000):
+        page = "".join(parts[i] for i in draw.integers(0, len(parts), draw.integers(1, 12)))
+        wanted = [(m.start(), m.end(), m[1] == "/", m[2], m[3] or "") for m in tag.finditer(page)]
+        tags, found, at = html.Tags(page), [], 0
+        while (token := tags.after(at)) is not None:
+            found.append(token)
+            at = token[1]
+        assert found == wanted, page
+
+
+def test_html_deep_lists_are_whole(spark):
+    text, items, _ = html.render(html.parse("".join(f"<ul><li>w{i}" for i in range(3_000))))
+    assert items == 3_000 and [x.strip() for x in text.split("\n")] == [f"- w{i}" for i in range(3_000)]
+    assert max(len(x) - len(x.lstrip()) for x in text.split("\n")) <= html.INDENT
+
+
+def test_a_worker_keeps_one_state():
+    made = []
+    make = lambda name: lambda: made.append(name) or name
+    assert [common.held(n, make(n)) for n in ("a", "a", "b", "a")] == ["a", "a", "b", "a"] and made == ["a", "b", "a"]
+    common.let_go()
+    assert common.held("a", make("a")) == "a" and made == ["a", "b", "a", "a"]
+    common.let_go()
