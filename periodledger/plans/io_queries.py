@@ -12,7 +12,7 @@ from periodledger.plans import fixtures, oracles
 from periodledger.plans.common import GROUP, QUARTER, joined, text
 from periodledger.sources.reports import attach_enterprises, explode_index, scan_report_files
 from periodledger.sources.scratch import materialize, shared_folder
-from periodledger.sources.sinks import contract_difference, flatten_for_csv, ingest_new
+from periodledger.sources.sinks import contract_difference, flatten_for_csv, ingest_new, write_files
 from periodledger.streaming.ingest import ReportStore
 
 
@@ -125,7 +125,7 @@ def q_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = F.array_compact(F.array(F.when(d % 10 != 3, F.struct(F.lit("body").alias("kind"), F.col("text").alias("value"))),
                                     F.when(d % 10 != 7, F.struct(F.lit("origin").alias("kind"), origin.alias("value")))))
     folder = f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
-    docs.select("doc_id", F.inline(files)).write.partitionBy("doc_id", "kind").text(folder)
+    write_files(docs.select("doc_id", F.inline(files)), folder, by=["doc_id", "kind"])
     found = scan_report_files(spark, folder, bodies="doc_id=*/kind=body/part-*", metas="doc_id=*/kind=origin/part-*", key=r"doc_id=([^/]+)/kind=")
     return found.select("report_key", "permit_code", "report_id", "air_sha256", F.length("body").alias("n_chars"), "file_status")
 

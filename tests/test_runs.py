@@ -1,5 +1,6 @@
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 from conftest import filing, line
@@ -12,6 +13,7 @@ from periodledger.operators.timeselect import select_time, with_report_period
 from periodledger.plans.run import collect_run, load_run, manifest_of, verify_folder
 from periodledger.sources.reports import attach_enterprises, scan_report_folder, surplus_rows, with_url_identity
 from periodledger.sources.sinks import ContractMismatch, contract_rows, guard_contract, ingest_new, write_csv, write_json
+from periodledger.sources import sinks
 from periodledger.streaming.ingest import ARRIVAL_SCHEMA, ReportStore, follow
 
 SELECTION = select_time(start="2023-12", end="2024-01")
@@ -145,3 +147,20 @@ def test_two_rows_of_an_enterprise_do_not_double_its_reports(spark, salts):
     one = {"enterprise_id": "e1", "name": "A", "permit_code": "P1"}
     assert got == {"r1": one, "r2": one, "r3": None, "r4": None}
     assert [tuple(r) for r in surplus_rows(enterprises).collect()] == [("e1", 1)]
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_small_files_are_written_by_all_tasks_without_companions(spark, tmp_path, monkeypatch, known):
+    if not known:  # a file system that only Spark can open
+        def refuse(_):
+            raise sinks.pa.ArrowInvalid("unknown")
+        monkeypatch.setattr(sinks, "fs", SimpleNamespace(FileSystem=SimpleNamespace(from_uri=refuse)))
+    rows = [(1, "body", "é\nx"), (1, "origin", "{}"), (2, "body", ""), (None, "body", "n"), (2, "body", "b")] + [(i, "body", "t") for i in range(3, 60)]
+    sinks.write_files(spark.createDataFrame(rows, "doc_id long, kind string, value string").coalesce(1), f"file://{tmp_path}/out", by=["doc_id", "kind"])
+    found = {}
+    for at in (tmp_path / "out").glob("doc_id=*/kind=*/part-*"):
+        found.setdefault("/".join(at.parts[-3:-1]), []).append(at.read_bytes())
+    assert len(found) == 61 and all(len(files) == 1 for files in found.values())
+    assert found["doc_id=1/kind=body"] == ["é\nx\n".encode()] and found["doc_id=1/kind=origin"] == [b"{}\n"]
+    assert sorted(found["doc_id=2/kind=body"][0].splitlines()) == [b"", b"b"] and found[f"doc_id={sinks.NO_KEY}/kind=body"] == [b"n\n"]
+    assert not known or not list((tmp_path / "out").rglob("*.crc"))
