@@ -42,19 +42,23 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("bigint").alias("q"))
 
 
-def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One reported value: a field of a row of a report."""
+def cells(spark: SparkSession, sf_dir: str, by_report: bool = False) -> DataFrame:
+    """One reported value: a field of a row of a report. ``by_report`` brings the lines of a report together beforehand, so that
+    its cells, rows and body are made without a further shuffle; there are fewer lines than cells."""
     none = F.lit(None).cast("int")
-    cell = lambda per, field, m: F.struct(per.cast("int").alias("per"), field.alias("field"), m.alias("m"))
+    cell = lambda field, m: F.struct(field.alias("field"), m.alias("m"))
     total = F.lit(vocab.TOTAL_FIELD)
     fields = (
-        F.when(F.col("t") == "month", F.array(cell(F.col("m"), F.lit(vocab.MONTH_FIELD), F.col("m"))))
+        F.when(F.col("t") == "month", F.array(cell(F.lit(vocab.MONTH_FIELD), F.col("m"))))
         .when(F.col("t") == "quarter", F.array(
-            cell(F.col("quarter"), _pick(vocab.QUARTER_FIELDS, (F.col("m") - 1) % 3), F.col("m")),
-            cell(F.col("quarter"), total, none)))
-        .otherwise(F.array(cell(F.lit(0), total, none)))
+            cell(_pick(vocab.QUARTER_FIELDS, (F.col("m") - 1) % 3), F.col("m")), cell(total, none)))
+        .otherwise(F.array(cell(total, none)))
     )
-    wide = lines(spark, sf_dir).withColumn("c", F.explode(fields)).select("*", "c.per", "c.field", F.col("c.m").alias("cell_month"))
+    per = F.when(F.col("t") == "month", F.col("m")).when(F.col("t") == "quarter", F.col("quarter")).otherwise(0)
+    placed = lines(spark, sf_dir).withColumn("per", per.cast("int"))
+    if by_report:
+        placed = placed.repartition(*REPORT_KEY)
+    wide = placed.withColumn("c", F.explode(fields)).select("*", "c.field", F.col("c.m").alias("cell_month"))
     summed = wide.groupBy(*ROW_KEY, "field", F.col("cell_month").alias("m")).agg(F.sum("q").alias("v"))
     e, m, p = F.col("e"), F.coalesce(F.col("m"), F.lit(0)), F.col("p")
     return summed.withColumn("value_raw", F.when((e * 7 + m * 3 + p) % 23 == 0, "/").when((e + m + p) % 29 == 0, "-1")
@@ -77,7 +81,10 @@ def _report_columns() -> dict[str, Column]:
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long records straight from the cells, as the resolver takes them."""
-    step = cells(spark, sf_dir).withColumns(_report_columns())
+    # The number first: its steps pass on every column a row has by then.
+    step = cells(spark, sf_dir).withColumn("_present", F.lit(True))
+    step = with_number(step, clean="value_raw", raw="value_raw", present="_present")
+    step = step.withColumns(_report_columns())
     code, name = _pick([c for c, _, _ in POLLUTANTS], F.col("p")), _pick([n for _, n, _ in POLLUTANTS], F.col("p"))
     volume = F.col("p") == 3
     row = F.concat(F.lit("/emissionInfo/airMainEmission/"), (F.col("p") * 2 + F.col("o")).cast("string"),
@@ -100,9 +107,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "identity_conflicts": F.when(F.col("e") % 9 == 8, F.array(F.lit("permit_code_mismatch")))
         .otherwise(F.expr("cast(array() as array<string>)")),
         "pollutant_identity_conflict": F.lit(False), "schema_warnings": F.expr("cast(array() as array<string>)"),
-        "_present": F.lit(True),
     })
-    step = with_number(step, clean="value_raw", raw="value_raw", present="_present")
     step = step.withColumn("aggregation_eligible", F.col("value_decimal").isNotNull() & (F.size("identity_conflicts") == 0))
     return step.drop("_present", *[c for c in ROW_KEY], "m", "v", "filed_permit")
 
@@ -113,7 +118,7 @@ def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     A report has at most 4 pollutants x 2 outlets x 2 copies = 16 rows of at most 4 fields, so
     the lists below are bounded.
     """
-    rows = cells(spark, sf_dir).groupBy(*ROW_KEY).agg(F.map_from_entries(
+    rows = cells(spark, sf_dir, by_report=True).groupBy(*ROW_KEY).agg(F.map_from_entries(
         F.collect_list(F.struct("field", "value_raw"))).alias("fields"))
     code, name = _pick([c for c, _, _ in POLLUTANTS], F.col("p")), _pick([n for _, n, _ in POLLUTANTS], F.col("p"))
     fixed = F.create_map(
