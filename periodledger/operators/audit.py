@@ -125,7 +125,7 @@ def verify_run(*, manifest: DataFrame, stored: DataFrame, records: DataFrame, mo
     # when small and the bodies themselves are not shuffled.
     unsound = materialize(stored.select(*REPORT).distinct().join(bodies, REPORT, "left_anti"), "unsound")
     sound = stored.join(unsound, REPORT, "left_anti").select("body", "meta", "enterprise")
-    reparsed = materialize(requested_rows(flatten_reports(sound), selection), "reparsed")
+    reparsed = materialize(requested_rows(flatten_reports(sound, selection=selection), selection), "reparsed")
     problems = body_problems
     for part in (
         check_readback(records, reparsed, bodies),

@@ -15,9 +15,10 @@ from periodledger.functions import periods as P
 from periodledger.functions.context import (
     CONTEXT_COLUMNS, EMPTY_MAP, STRING_MAP, TEMPLATE_COLUMNS, with_report_context)
 from periodledger.functions.identity import emission_scope, with_pollutant
-from periodledger.functions.numbers import NUMBER_COLUMNS, with_number
+from periodledger.functions.numbers import NUMBER_COLUMNS, fence, with_number
 from periodledger.functions.text import clean_map, last_wins, object_keys, object_places
 from periodledger.functions.units import UNIT_COLUMNS, unit_evidence, with_unit
+from periodledger.operators.timeselect import TimeSelection
 from periodledger.sources.scratch import materialize
 
 RECORD_COLUMNS = CONTEXT_COLUMNS + UNIT_COLUMNS + [
@@ -103,6 +104,16 @@ def value_fields() -> Column:
     )
 
 
+def requested_fields(selection: TimeSelection) -> Column:
+    """The value fields of :func:`value_fields` whose records :func:`requested_rows` keeps. A record's period is that of its report
+    and field, so this is known before any row is read."""
+    def wanted(field: Column) -> Column:
+        periods = P.covered_periods(F.col("year"), field["period_kind"], field["month"], F.col("report_quarter"))
+        return (F.size(periods) == 0) | P.overlaps(periods, selection.array())
+
+    return F.filter(value_fields(), wanted)
+
+
 def eligibility() -> Column:
     """A record may enter a total only if nothing about it is in doubt."""
     known_period = (
@@ -126,9 +137,11 @@ def _text_kind_differs() -> Column:
 
 
 def flatten_reports(reports: DataFrame, *, keys: list[str] | None = None, allow_template_mass_unit: bool = True,
-                    table_unit: str = vocab.TEMPLATE_UNIT) -> DataFrame:
+                    table_unit: str = vocab.TEMPLATE_UNIT, selection: TimeSelection | None = None) -> DataFrame:
     """Long records of reports with columns ``body``, ``meta`` and ``enterprise``.
 
+    With ``selection`` only the records that :func:`requested_rows` keeps: reports without any are left before their rows are read.
+
     ``keys`` are further input columns to carry along (a report key, for one). Rows that are
     malformed, unreadable or unknown stay in the result with a status.
     """
@@ -136,7 +149,13 @@ def flatten_reports(reports: DataFrame, *, keys: list[str] | None = None, allow_
     parsed = parse_bodies(reports.select("body", "meta", "enterprise", *keys))
     context = with_report_context(parsed, allow_template_mass_unit=allow_template_mass_unit, table_unit=table_unit)
     context = context.withColumn("period_classifier_mismatch", _text_kind_differs())
-    rows = explode_rows(context.select(*keys, *CONTEXT_COLUMNS, *TEMPLATE_COLUMNS, "period_classifier_mismatch", "sections"))
+    context = context.select(*keys, *CONTEXT_COLUMNS, *TEMPLATE_COLUMNS, "period_classifier_mismatch", "sections")
+    fields = value_fields()
+    if selection is not None:
+        fields = requested_fields(selection)
+        judged = context.withColumn("_asked", F.size(fields) > 0)
+        context = fence(judged, ["_asked"], context.columns).where("_asked").drop("_asked")
+    rows = explode_rows(context)
     rows = rows.withColumn("clean", clean_map(F.col("row")))
     clean = lambda key: F.coalesce(F.try_element_at("clean", F.lit(key)), F.lit(""))
     raw = lambda key: F.try_element_at("row", F.lit(key))
@@ -155,7 +174,7 @@ def flatten_reports(reports: DataFrame, *, keys: list[str] | None = None, allow_
                                     F.concat(F.lit("unknown:"), F.col("row_json_pointer"))),
         "report_id": F.coalesce(F.nullif("report_id", F.lit("")), "source_row_report_id"),
     })
-    values = rows.select("*", F.inline(value_fields()))
+    values = rows.select("*", F.inline(fields))
     values = values.withColumns({
         "field_present": F.coalesce(F.map_contains_key("row", F.col("field")), F.lit(False)),
         "value_raw": F.try_element_at("row", F.col("field")),

@@ -31,7 +31,7 @@ def _faulty_run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     copies = F.when((ten == 2) & april, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     stored = reports.where(~((ten == 1) & quarterly)).withColumn("_copy", F.explode(copies)).select(
         "permit_code", "report_id", "body", "meta", "enterprise")
-    records = materialize(requested_rows(flatten_reports(reports), QUARTER), "records")
+    records = materialize(requested_rows(flatten_reports(reports, selection=QUARTER), QUARTER), "records")
     records = records.withColumns({
         "raw_row": F.when(ten == 4, F.concat("raw_row", F.lit(" "))).otherwise(F.col("raw_row")),
         "value_raw": F.when((ten == 5) & F.col("field_present"), F.concat("value_raw", F.lit("0"))).otherwise(F.col("value_raw")),

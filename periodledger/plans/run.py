@@ -27,7 +27,7 @@ def collect_run(spark: SparkSession, out: str, *, selection: TimeSelection, repo
     for name, table in (("manifest", manifest), ("enterprises", enterprises), ("indexes", indexes), ("reports", reports)):
         write_table(table, f"{out}/{name}")
     tables = load_run(spark, out, ["manifest", "enterprises", "indexes", "reports"])
-    records = requested_rows(flatten_reports(tables["reports"]), selection)
+    records = requested_rows(flatten_reports(tables["reports"], selection=selection), selection)
     write_table(records, f"{out}/air_records", partition_by=["period_kind"])
     write_table(rejected_bodies(tables["reports"], ["permit_code", "report_id"]), f"{out}/rejected_reports")
     written = spark.read.parquet(f"{out}/air_records")
