@@ -83,8 +83,9 @@ class ReportStore:
         self._replace(append.withColumn("batch", F.lit(batch_id).cast("long")), "reports", "bucket", "batch")
         added = self.reports().where(F.col("bucket").isin(buckets) & (F.col("batch") == batch_id))
         rejected_bodies(added, REPORT_IDENTITY).write.mode("overwrite").parquet(f"{self._path('rejects')}/batch={batch_id}")
-        records = requested_rows(flatten_reports(added), self.selection).withColumns({"enterprise": _enterprise(), "batch": F.lit(batch_id).cast("long")})
-        self._replace(records, "records", "enterprise", "batch")
+        records = requested_rows(flatten_reports(added, selection=self.selection), self.selection).withColumns({"enterprise": _enterprise(), "batch": F.lit(batch_id).cast("long")})
+        # An enterprise's records meet in one task and make one file: every task would otherwise open a file for nearly every enterprise.
+        self._replace(records.repartition("enterprise"), "records", "enterprise", "batch")
         touched = self.records().where(F.col("batch") == batch_id).select("enterprise", "enterprise_id").distinct()
         touched.withColumn("bucket", self._bucket()).write.mode("overwrite").parquet(f"{self._path('touched')}/batch={batch_id}")
 
