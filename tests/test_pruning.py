@@ -116,3 +116,12 @@ def test_files_without_a_partner_are_listed(spark, tmp_path):
     assert got["lost"].report_id == "lost" and got["lost"].body is None and got["bare"].report_id is None
     assert got["bare"].air_sha256 == hashlib.sha256(b'{"permit_code":"Q1","report_id":"bare"}\r\n').hexdigest()
     assert [r.report_key for r in scan_report_folder(spark, str(tmp_path)).collect()] == ["one"]
+
+
+def test_the_records_of_an_enterprise_are_one_file_a_batch(spark, tmp_path):
+    store = ReportStore(spark, str(tmp_path / "store"), select_time(years=[2022], months=[5, 6]), buckets=2)
+    rows = [(e, f"{e}-{m}-{n}", m, "1") for e in ("n", "s") for m in (5, 6) for n in range(8)]
+    store.take(arrivals(spark, rows).repartition(8, "reportId"), 1)
+    files = [at.parent for at in (tmp_path / "store" / "records").glob("enterprise=*/batch=1/*.parquet")]
+    assert len(files) == len(set(files)) == 2
+    assert store.records().count() == len(rows)
