@@ -121,7 +121,14 @@ def test_files_without_a_partner_are_listed(spark, tmp_path):
 def test_the_records_of_an_enterprise_are_one_file_a_batch(spark, tmp_path):
     store = ReportStore(spark, str(tmp_path / "store"), select_time(years=[2022], months=[5, 6]), buckets=2)
     rows = [(e, f"{e}-{m}-{n}", m, "1") for e in ("n", "s") for m in (5, 6) for n in range(8)]
-    store.take(arrivals(spark, rows).repartition(8, "reportId"), 1)
+    apart = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.openCostInBytes": str(2**27)}  # reports in many tasks
+    for name, value in apart.items():
+        spark.conf.set(name, value)
+    try:
+        store.add(arrivals(spark, rows).repartition(8, "reportId"), 1)
+    finally:
+        for name in apart:
+            spark.conf.unset(name)
     files = [at.parent for at in (tmp_path / "store" / "records").glob("enterprise=*/batch=1/*.parquet")]
     assert len(files) == len(set(files)) == 2
     assert store.records().count() == len(rows)
