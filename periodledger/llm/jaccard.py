@@ -18,9 +18,15 @@ Copies sign once a task. Signatures are shuffled once; a pass over the sorted ro
 and counts their sets up to ``COUNTED`` (more are the most common ones alike: this only orders them), holding no more rows
 than that. What a set keeps is sorted by signature again and numbered, holding one row. Links are then found without emitting all pairs of a signature: in each
 round the next sets of a signature (1, 8, 64, ...) meet the later ones that are not yet in the same class; pairs that
-their ``FOLDS`` (512 bits of a set) prove apart are not emitted, the others are compared, the found links are contracted to classes, and signatures within one class are done. Every pair that shares a signature is
+their cores prove apart are not emitted, the others are compared, the found links are contracted to classes, and signatures within one class are done. Every pair that shares a signature is
 compared, proved apart or already connected, so no link is lost; rounds are logarithmic in the largest group.
 
+A set's core are its shingles that a set of another class holds too, among the sets still searched: two sets of different
+classes have nothing else in common. Variants of one text that are too far from all others have many shingles of their own,
+so their cores are small: a set whose core is below 4/5 of it has no link left and goes, without meeting the others of
+its signatures; pairs are proved apart by the sizes of their cores and by ``FOLDS`` (512 bits of a core). Cores take one grouping of the shingles
+a round, shrink from round to round, and never grow.
+
 Shingles are compared by their 64-bit hashes, sets are identified by a 64-bit hash of all their shingles.
 
 Defined results: a text without words has an empty set and is linked with nothing; a text of one to four words is one
@@ -317,12 +323,12 @@ def _passing(passed, bits: int):
                     ends = np.concatenate([[0], np.cumsum(sizes[which])]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(keys[which].view(np.int64)), pa.array(sizes[which]), pa.array([outline(x) for x in own], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own).view(np.int64))), *map(pa.array, folds(own))], names=["key", "n", "outline", "shingles", *FOLDS])
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own).view(np.int64)))], names=["key", "n", "outline", "shingles"])
     return run
 
 
 def compared_sets(docs: DataFrame, known: DataFrame, shared: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """key, n, outline, shingles, folds of the sets that share a signature, made again from the text of one document each. Which
+    """key, n, outline, shingles of the sets that share a signature, made again from the text of one document each. Which
     documents these are is told by a bit field of fixed size (too full, it only lets more pass), so no text is shuffled."""
     holder = known.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     wanted = holder.join(shared.select("key").distinct(), "key", "left_semi").select("key", F.xxhash64("doc_id").alias("id"))
@@ -331,24 +337,28 @@ def compared_sets(docs: DataFrame, known: DataFrame, shared: DataFrame, bits: in
     if slots.num_rows:
         field[slots.column("slot").to_numpy()] = slots.column("bits").to_numpy().view(np.uint64)
     passed = docs.sparkSession.sparkContext.broadcast(field)
-    return docs.select(F.xxhash64("doc_id").alias("id"), "text").mapInArrow(_passing(passed, bits), "key long, n long, outline binary, shingles array<long>, " + ", ".join(f"{f} long" for f in FOLDS))
+    return docs.select(F.xxhash64("doc_id").alias("id"), "text").mapInArrow(_passing(passed, bits), "key long, n long, outline binary, shingles array<long>")
 
 
-def folds(sets: list[np.ndarray]) -> np.ndarray:
-    """For each set 64 * len(FOLDS) bits, one set for each shingle; a row for each of FOLDS."""
-    size = 64 * len(FOLDS)
-    bits = np.zeros((len(sets), size), bool)
-    for i, own in enumerate(sets):
-        bits[i, (own & np.uint64(size - 1)).astype(np.int64)] = True
-    return np.ascontiguousarray(np.packbits(bits, axis=1, bitorder="little").view(np.int64).T)
+def cores(sets: DataFrame, live: DataFrame) -> DataFrame:
+    """key, n, core, folds of the sets in ``live`` that may still be linked with one of another class: the number of their
+    shingles that another class holds too, and 64 * len(FOLDS) bits, one set for each of these."""
+    own = sets.select("key", "n", "shingles").join(live.select("key", "class").distinct(), "key").dropDuplicates(["key"])
+    each = materialize(own.select("key", "n", "class", F.explode("shingles").alias("shingle")), "jaccard-shingles")
+    met = materialize(each.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("shingle"), "jaccard-met")
+    bit = F.expr("shiftleft(1L, cast(shingle & 63 as int))")
+    slot = F.shiftright("shingle", 6).bitwiseAND(F.lit(len(FOLDS) - 1))
+    folded = [F.bit_or(F.when(slot == i, bit).otherwise(F.lit(0).cast("long"))).alias(f) for i, f in enumerate(FOLDS)]
+    core = each.join(met, "shingle", "left_semi").groupBy("key", "n").agg(F.count("shingle").alias("core"), *folded)
+    return materialize(core.where("100 * core >= 80 * n"), "jaccard-cores")
 
 
 def _not_apart() -> Column:
-    """Whether the folds of a and b leave it open that they are similar: a bit that only one has is a shingle that only it has."""
+    """Whether the cores of a and b leave it open that they are similar: a bit that only one has is a shingle that only it has."""
     def only(x: str, y: str) -> Column:
         return reduce(add, (F.bit_count(F.col(f"{f}_{x}").bitwiseAND(F.bitwise_not(f"{f}_{y}"))) for f in FOLDS))
 
-    most = F.least(F.col("n_a") - only("a", "b"), F.col("n_b") - only("b", "a"))
+    most = F.least(F.col("core_a") - only("a", "b"), F.col("core_b") - only("b", "a"))
     return 100 * most >= 80 * (F.col("n_a") + F.col("n_b") - most)
 
 
@@ -420,8 +430,10 @@ def linked_classes(docs: DataFrame, known: DataFrame) -> DataFrame | None:
         if start == 0:
             pairs = live.where("place > 0").select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct()
         else:
-            folded = live.join(sets.select("key", "n", *FOLDS), "key")
-            first, later = (folded.select("signature", F.col("place").alias(f"place_{x}"), F.col("key").alias(x), F.col("class").alias(f"class_{x}"), *[F.col(c).alias(f"{c}_{x}") for c in ("n", *FOLDS)]) for x in "ab")
+            known_cores = cores(sets, live)
+            live = live.join(known_cores.select("key"), "key", "left_semi")
+            folded = live.join(known_cores, "key")
+            first, later = (folded.select("signature", F.col("place").alias(f"place_{x}"), F.col("key").alias(x), F.col("class").alias(f"class_{x}"), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "core", *FOLDS)]) for x in "ab")
             apart = (F.col("place_a") < F.col("place_b")) & (F.col("class_a") != F.col("class_b"))
             pairs = (later.join(first.where(F.col("place_a") < start + width), "signature").where(apart & _not_apart())
                      .select("a", "b").distinct().join(done, ["a", "b"], "left_anti"))

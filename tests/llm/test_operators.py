@@ -287,6 +287,29 @@ def test_shared_passages_are_no_candidates(spark):
     assert linked == {i: i - 100 if i >= 100 else i for i, _ in texts}
 
 
+def test_far_variants_of_a_text_are_no_candidates(spark, monkeypatch):
+    # Variants of one text that are too far from all others share many signatures, but do not meet each other.
+    rng = np.random.default_rng(7)
+    texts = []
+    for i in range(90):
+        words = [f"c{j}" for j in range(300)]
+        for j in rng.choice(60, 10 if i % 3 else 1, replace=False):  # in steps of five words: each costs five shingles
+            words[5 * j] = f"v{i}x{j}"
+        texts.append((i, " ".join(words), None))
+    pairs, write = [], jaccard.materialize
+
+    def counted(df, label):
+        out = write(df, label)
+        if label == "jaccard-pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    linked = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.classes_of(spark.createDataFrame([x[:2] for x in texts], "doc_id long, text string")).collect()}
+    assert linked == classes_by_brute_force(texts)
+    assert len(pairs) > 1 and sum(pairs[1:]) < len(texts)
+
+
 def test_outlines_pass_near_pairs():
     a = np.random.default_rng(3).integers(0, 2**64, 1000, dtype=np.uint64)
     b = np.concatenate([a[:900], np.random.default_rng(4).integers(0, 2**64, 220, dtype=np.uint64)])
