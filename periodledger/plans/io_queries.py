@@ -125,8 +125,11 @@ def q_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = F.array_compact(F.array(F.when(d % 10 != 3, F.struct(F.lit("body").alias("kind"), F.col("text").alias("value"))),
                                     F.when(d % 10 != 7, F.struct(F.lit("origin").alias("kind"), origin.alias("value")))))
     folder = f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
-    write_files(docs.select("doc_id", F.inline(files)), folder, by=["doc_id", "kind"])
-    found = scan_report_files(spark, folder, bodies="doc_id=*/kind=body/part-*", metas="doc_id=*/kind=origin/part-*", key=r"doc_id=([^/]+)/kind=")
+    # Tasks that make folders in one and the same folder wait for each other.
+    shard = F.pmod(F.hash("doc_id"), F.lit(256)).alias("shard")
+    write_files(docs.select(shard, "doc_id", F.inline(files)), folder, by=["shard", "doc_id", "kind"])
+    each = "shard=*/doc_id=*/kind="
+    found = scan_report_files(spark, folder, bodies=f"{each}body/part-*", metas=f"{each}origin/part-*", key=r"doc_id=([^/]+)/kind=")
     return found.select("report_key", "permit_code", "report_id", "air_sha256", F.length("body").alias("n_chars"), "file_status")
 
 

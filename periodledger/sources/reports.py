@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from periodledger import vocab
 from periodledger.functions.context import STRING_MAP, url_parameter
 from periodledger.functions.hashing import content_hash
+from periodledger.sources.files import any_match, find_files, local_folder, read_paired
 
 
 # Where a run folder keeps its files, and what in a path names the report: the directory of the file.
 BODY_FILES, META_FILES, KEY_IN_PATH = "reports/*/air_report.json", "reports/*/provenance.json", r"([^/]+)/[^/]+$"
 
 
-def _whole_files(spark: SparkSession, pattern: str, key: str) -> DataFrame:
+def _whole_files(spark: SparkSession, pattern: str, key: str, name: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(pattern)
-    return files.select(F.regexp_extract(F.col("_metadata.file_path"), key, 1).alias("report_key"), "content")
+    return files.select(F.regexp_extract(F.col("_metadata.file_path"), key, 1).alias("report_key"), F.col("content").alias(name))
 
 
 def scan_report_files(spark: SparkSession, folder: str, *, bodies: str = BODY_FILES, metas: str = META_FILES, key: str = KEY_IN_PATH) -> DataFrame:
@@ -24,15 +25,21 @@ def scan_report_files(spark: SparkSession, folder: str, *, bodies: str = BODY_FI
 
     Body and provenance lie side by side as files and are joined by their directory. The hash is that of the file's bytes. A file
     without its partner stays, with the status ``body_without_provenance`` or ``provenance_without_body``; several files under one key
-    are all paired.
+    are all paired. Files of a local folder are found and read by tasks; other file systems, names that only Spark's patterns can
+    match and folders without such files, which it refuses, keep Spark's reader.
     """
-    body = _whole_files(spark, f"{folder}/{bodies}", key).select(
-        "report_key", F.decode("content", "UTF-8").alias("body"), F.sha2("content", 256).alias("air_sha256"))
-    meta = _whole_files(spark, f"{folder}/{metas}", key).select("report_key", F.from_json(F.decode("content", "UTF-8"), STRING_MAP).alias("meta"), F.lit(True).alias("_described"))
-    status = F.when(F.col("air_sha256").isNull(), "provenance_without_body").when(F.col("_described").isNull(), "body_without_provenance").otherwise("paired")
-    return body.join(meta, "report_key", "full").select(
+    place = local_folder(spark, folder, bodies, metas)
+    if place and any_match(place, bodies) and any_match(place, metas):
+        body, meta = (find_files(spark, place, x).select(F.regexp_extract("uri", key, 1).alias("report_key"), "path") for x in (bodies, metas))
+        found = read_paired(body, meta, "report_key", ("_body", "_meta"))
+    else:
+        found = _whole_files(spark, f"{folder}/{bodies}", key, "_body").join(_whole_files(spark, f"{folder}/{metas}", key, "_meta"), "report_key", "full")
+    status = F.when(F.col("_body").isNull(), "provenance_without_body").when(F.col("_meta").isNull(), "body_without_provenance").otherwise("paired")
+    told = found.select("report_key", F.decode("_body", "UTF-8").alias("body"), F.sha2("_body", 256).alias("air_sha256"),
+                        F.from_json(F.decode("_meta", "UTF-8"), STRING_MAP).alias("meta"), status.alias("file_status"))
+    return told.select(
         "report_key", F.try_element_at("meta", F.lit("permit_code")).alias("permit_code"),
-        F.try_element_at("meta", F.lit("report_id")).alias("report_id"), "body", "air_sha256", "meta", status.alias("file_status"))
+        F.try_element_at("meta", F.lit("report_id")).alias("report_id"), "body", "air_sha256", "meta", "file_status")
 
 
 def scan_report_folder(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,6 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 from conftest import filing, line
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from periodledger.functions.hashing import content_hash
@@ -11,9 +12,9 @@ from periodledger.operators.compare import compare_runs, difference_samples, mul
 from periodledger.operators.coverage import index_coverage
 from periodledger.operators.timeselect import select_time, with_report_period
 from periodledger.plans.run import collect_run, load_run, manifest_of, verify_folder
-from periodledger.sources.reports import attach_enterprises, scan_report_folder, surplus_rows, with_url_identity
+from periodledger.sources import files, reports, sinks
+from periodledger.sources.reports import attach_enterprises, scan_report_files, scan_report_folder, surplus_rows, with_url_identity
 from periodledger.sources.sinks import ContractMismatch, contract_rows, guard_contract, ingest_new, write_csv, write_json
-from periodledger.sources import sinks
 from periodledger.streaming.ingest import ARRIVAL_SCHEMA, ReportStore, follow
 
 SELECTION = select_time(start="2023-12", end="2024-01")
@@ -164,3 +165,72 @@ def test_small_files_are_written_by_all_tasks_without_companions(spark, tmp_path
     assert found["doc_id=1/kind=body"] == ["é\nx\n".encode()] and found["doc_id=1/kind=origin"] == [b"{}\n"]
     assert sorted(found["doc_id=2/kind=body"][0].splitlines()) == [b"", b"b"] and found[f"doc_id={sinks.NO_KEY}/kind=body"] == [b"n\n"]
     assert not known or not list((tmp_path / "out").rglob("*.crc"))
+
+
+def _put(top, files):
+    for at, content in files.items():
+        (top / at).parent.mkdir(parents=True, exist_ok=True)
+        (top / at).write_bytes(content)
+
+
+def test_the_tasks_of_a_scan_do_not_grow_with_the_files(spark, tmp_path):
+    tasks = {}
+    for n in (2, 300):
+        _put(tmp_path / str(n), {f"reports/{i}/{name}": b"{}" for i in range(n) for name in ("air_report.json", "provenance.json")})
+        spark.sparkContext.setJobGroup(f"scan of {n}", "")
+        try:
+            found = scan_report_files(spark, str(tmp_path / str(n))).groupBy("file_status").count().collect()
+        finally:
+            for name in ("spark.jobGroup.id", "spark.job.description"):
+                spark.sparkContext.setLocalProperty(name, None)
+        assert [tuple(r) for r in found] == [("paired", n)]
+        seen = spark.sparkContext.statusTracker()
+        stages = {stage for job in seen.getJobIdsForGroup(f"scan of {n}") for stage in seen.getJobInfo(job).stageIds}
+        tasks[n] = sum(info.numCompletedTasks for stage in stages if (info := seen.getStageInfo(stage)))
+    assert 0 < tasks[300] <= tasks[2] + 8  # listing took a task for each file
+
+
+@pytest.mark.parametrize("bodies, metas, key", [
+    ("reports/*/air_report.json", "reports/*/provenance.json", r"([^/]+)/[^/]+$"), ("parts/k=*/body/*", "parts/k=*/meta/part-?", "k=([^/]+)/"),
+    ("reports/plain/air_report.json", "reports/*/provenance.json", "^(.*)$")])
+def test_files_are_found_by_tasks_as_by_the_reader_of_spark(spark, tmp_path, monkeypatch, bodies, metas, key):
+    names = ["plain", "a b", "50%", "a%20b", "x#y", "ä中", "q?m", "br[1]", "cu{r}", 'q"t', "b\\s", ".hidden", "_under", "ca^ret", "wide\u3000space"]
+    _put(tmp_path, {f"reports/{n}/{file}": content for n in names for file, content in
+                    (("air_report.json", f"body {n}\r\n".encode()), ("provenance.json", b'{"permit_code":"P","report_id":"r"}'))})
+    _put(tmp_path, {"reports/empty/air_report.json": b"", "reports/empty/provenance.json": b"{}", "reports/loose.txt": b"x", "reports/bare/air_report.json": b"x",
+                    "reports/folder/air_report.json/inner": b"i", "reports/folder/air_report.json/.inner": b"i", "reports/folder/air_report.json/deep/er": b"i",
+                    "reports/odd/air_report.json": b"x", "reports/odd/provenance.json": b"no json"})
+    _put(tmp_path, {f"parts/k=1/{file}": file.encode() for file in ("body/part-0", "body/part-1", "body/.part-2", "body/_x", "body/_x=1", "body/y._COPYING_", "meta/part-0",
+                                                                    "meta/part-1", "meta/part-10")})
+    _put(tmp_path, {"parts/k=2/body/part-0": b"x", "parts/k=3/meta/part-0": b'{"report_id":"r"}'})
+    for name, target in (("dangling", "nowhere"), ("loop", "reports/loop")):
+        os.symlink(tmp_path / target, tmp_path / "reports" / name)
+    os.symlink(tmp_path / "reports" / "plain", tmp_path / "reports" / "link")
+    scanned = lambda folder: sorted(map(repr, scan_report_files(spark, folder, bodies=bodies, metas=metas, key=key).collect()))
+    found = [scanned(f"{scheme}{tmp_path}{end}") for scheme, end in (("", ""), ("file:", "/"), ("file://", ""))]
+    assert "BinaryFile" not in scan_report_files(spark, str(tmp_path), bodies=bodies, metas=metas, key=key)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(reports, "local_folder", lambda *_: None)
+    assert found == [scanned(str(tmp_path))] * 3 and len(found[0]) >= 5
+
+
+def _denied(_):
+    raise PermissionError(13, "denied")
+
+
+def test_folders_without_reports_and_corrupt_files_are_refused(spark, tmp_path, monkeypatch):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        scan_report_files(spark, str(tmp_path / "none"))
+    _put(tmp_path, {"reports/a/air_report.json": b"{}"})
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND.*provenance"):
+        scan_report_files(spark, str(tmp_path))
+    spark.range(1).selectExpr("repeat('abc', 500) as value").coalesce(1).write.text(str(tmp_path / "out" / "a"))  # with a checksum file
+    (at,) = (tmp_path / "out" / "a").glob("part-*")
+    found = scan_report_files(spark, str(tmp_path), bodies="out/*/part-*", metas="reports/*/air_report.json", key="/([^/]+)/[^/]+$")
+    assert [(r.report_key, len(r.body), r.file_status) for r in found.collect()] == [("a", 1501, "paired")]
+    monkeypatch.setattr(files.os, "listdir", _denied)  # a folder that cannot be listed is not an empty one
+    with pytest.raises(PermissionError):
+        files.any_match(str(tmp_path), "reports/*/air_report.json")
+    monkeypatch.undo()
+    at.write_bytes(at.read_bytes()[:700] + b"X" + at.read_bytes()[701:])
+    with pytest.raises(Exception, match="checksum"):
+        found.collect()
